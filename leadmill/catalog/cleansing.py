@@ -55,8 +55,8 @@ PLACES = "SELECT DISTINCT r_name AS string_field_0 FROM {region}"
 
 # the pieces have one blank between words, so title case is upper case after a blank, digit, # or -
 TITLE = (
-    "list_reduce(list_prepend('', list_transform(generate_series(1, length({0})), i -> "
-    "CASE WHEN i = 1 OR NOT regexp_matches({0}[i - 1], '[A-Za-z]') THEN upper({0}[i]) ELSE lower({0}[i]) END)), (a, b) -> a || b)"
+    "list_reduce(list_prepend('', list_transform(generate_series(1, length({0})), lambda i: "
+    "CASE WHEN i = 1 OR NOT regexp_matches({0}[i - 1], '[A-Za-z]') THEN upper({0}[i]) ELSE lower({0}[i]) END)), lambda a, b: a || b)"
 )
 
 
@@ -64,13 +64,14 @@ TITLE = (
     "n1_clean_names",
     with_source(
         NAMES,
-        f"""
-        , parts AS (SELECT p_partkey, {TITLE.format('p_name')} AS n, {TITLE.format('p_brand')} AS b,
-                    {TITLE.format('p_type')} AS t, name, p_type FROM src)
-        SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN n
-               WHEN 1 THEN CASE WHEN p_type = 'ECONOMY' THEN n || ' Economy ' || b ELSE n || '  ' || b END
-               WHEN 2 THEN n || ' Of' WHEN 3 THEN n END AS name
-        FROM parts
+        rf"""
+        , cut AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_name
+                  WHEN 1 THEN 'the ' || p_name || '-' || lower(p_type) || ', ' || p_brand ELSE name END AS c FROM src)
+        , titled AS (SELECT p_partkey, CASE WHEN c IS NOT NULL THEN {TITLE.format('c')} END AS t FROM cut)
+        , bare AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(t,
+                   '\([^()]*\)|\[[^\[\]]*$', ' ', 'g'), '[,-]', ' ', 'g'), ' +', ' ', 'g')) AS t FROM titled)
+        SELECT p_partkey, trim(regexp_replace(trim(regexp_replace(t, '\b(?:the|large|medium|promo|small|standard)\b', '', 'gi')),
+               '\b(?:AFRICA|AMERICA|ASIA|EUROPE|MIDDLE EAST)\b', '', 'gi')) AS name FROM bare
         """,
     ),
 )

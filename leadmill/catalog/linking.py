@@ -110,7 +110,7 @@ FROM {part}
 """
 PROVIDER = """
 SELECT p_partkey + 1 AS {p}_Index, concat('{k}', p_partkey - p_partkey % 3) AS {p}_{id},
-       CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' ', p_brand, ' ltd') WHEN 1 THEN p_name ELSE concat('x', p_type) END AS {p}_{name},
+       CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' ', p_brand, 's') WHEN 1 THEN p_name ELSE concat('x', p_type) END AS {p}_{name},
        CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS {p}_{name}Clean,
        concat('www.', replace(p_name, ' ', '-'), '.com') AS {p}_WebsiteClean, concat(replace(p_name, ' ', '_'), '.com') AS {p}_DomainClean,
        lower(p_type) AS {p}_City, p_brand AS {p}_StateClean, concat('zip ', p_size) AS {p}_PostalCode, p_type AS {p}_CountryClean,

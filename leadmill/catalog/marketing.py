@@ -267,7 +267,7 @@ SELECT concat('M', event_id) AS CM_MemberId, concat('A', user_id) AS CM_AccountI
 """
 OPP = """
 SELECT concat('O', o_orderkey) AS OPP_OpportunityId, concat('A', o_custkey) AS OPP_AccountId,
-       o_orderdate + INTERVAL '2190' DAY AS OPP_AdustedCreatedDate, o_orderdate + INTERVAL '2240' DAY AS OPP_CloseDate FROM {orders}
+       o_orderdate + INTERVAL '9000' DAY AS OPP_AdustedCreatedDate, o_orderdate + INTERVAL '9400' DAY AS OPP_CloseDate FROM {orders}
 """
 
 

@@ -169,7 +169,7 @@ def s8(spark, folder):
 
 
 MEMBERS = """
-SELECT concat('M', o_orderkey) AS Code, concat('K', nullif(o_custkey % 400, 7)) AS ContactLeadID, o_orderstatus AS Type,
+SELECT concat('M', o_orderkey) AS Code, 'K' || nullif(o_custkey % 400, 7) AS ContactLeadID, o_orderstatus AS Type,
        'lob' AS LOB, concat('A', o_custkey) AS Final_AccountID, 'name' AS Account_Name, 'c1' AS CampaignId,
        'camp' AS Campaign, CASE WHEN o_orderkey % 3 = 0 THEN 'Responded' ELSE '2.7' END AS CampaignMember_Status,
        o_orderkey % 2 = 0 AS HasResponded, o_orderdate AS CreatedDate, o_orderdate AS FirstRespondedDate,

@@ -1,5 +1,8 @@
 """String similarity: native bigram cosine, Arrow-batched edit measures, and tokens.
 
+The array work is written as SQL text: one expression per column instead of
+hundreds of calls from Python to the JVM to assemble it.
+
 The ``*_tokens`` functions give short token lists with one promise: two texts
 that reach the threshold share at least one token. They let a hot block be
 matched by equi joins on tokens instead of pairing all its rows.
@@ -7,29 +10,29 @@ matched by equi joins on tokens instead of pairing all its rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadmill import fixed_values as fixed
 from leadmill.functions import batches
 from leadmill.functions.text import without_accents
-from leadmill.functions.values import flag, quoted, strip
+from leadmill.functions.values import flag, quoted
 
 RARITY_BUCKETS = 1024
 SLACK = 1e-9
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Compute ``value`` once and use it in ``body``, also inside other lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def named(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-# --- cosine of character bigrams
+def let(name: str, value: str, body: str) -> str:
+    """SQL that computes ``value`` once and uses it by ``name`` in ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-def pairs_of_characters(text: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: text.substr(i, F.lit(2)))
 
+# --- cosine of character bigrams
 
 def plain_text(text: Column) -> Column:
     """Lower case without accents.
@@ -40,44 +43,37 @@ def plain_text(text: Column) -> Column:
     return without_accents(F.lower(text))
 
 
-def bigrams(plain: Column) -> Column:
-    """Character bigrams of the words of a plain text, each padded with blanks."""
-    words = F.filter(F.split(strip(plain), r"(?U)\s+"), lambda w: w != "")
-
-    padded = F.transform(words, lambda word: F.concat(F.lit(" "), word, F.lit(" ")))
-    return F.coalesce(F.flatten(F.transform(padded, pairs_of_characters)), F.array().cast("array<string>"))
-
+def pairs_of_characters(text: str) -> str:
+    return f"transform(sequence(1, length({text}) - 1), i -> substr({text}, i, 2))"
 
-def gram_vector(plain: Column) -> Column:
-    """Bigram -> count of a plain text; computed once per record."""
 
-    def counted(grams: Column) -> Column:
-        names = F.array_distinct(grams)
-        return F.map_from_arrays(names, F.transform(names, lambda g: F.size(F.filter(grams, lambda x: x == g))))
+def gram_vector(plain: str) -> str:
+    """SQL of a struct with bigram counts and their norm, of a plain text; once per record.
 
-    return let(bigrams(plain), counted)
-
-
-def squared_norm(vector: Column) -> Column:
-    return F.aggregate(F.map_values(vector), F.lit(0), lambda total, n: total + n * n)
-
-
-def vector_cosine(left: Column, right: Column) -> Column:
-    """Cosine of two gram vectors; null when one is empty or missing."""
-    dot = F.aggregate(
-        F.map_entries(left),
-        F.lit(0),
-        lambda total, e: total + e["value"] * F.coalesce(F.try_element_at(right, e["key"]), F.lit(0)),
+    The bigrams are those of the words, each padded with blanks.
+    """
+    words = f"filter(split({plain}, r'(?U)\\s+'), w -> w <> '')"
+    padded = f"transform({words}, w -> concat(' ', w, ' '))"
+    grams = f"coalesce(flatten(transform({padded}, p -> {pairs_of_characters('p')})), cast(array() as array<string>))"
+    counts = "map_from_arrays(array_distinct(gs), transform(array_distinct(gs), g -> size(filter(gs, x -> x = g))))"
+    norm = "sqrt(cast(aggregate(map_values(m), 0, (t, n) -> t + n * n) as double))"
+    return let("gs", grams, let("m", counts, f"named_struct('grams', m, 'norm', {norm})"))
+
+
+def vector_cosine(left: str, right: str) -> str:
+    """SQL of the cosine of two gram vectors; null when one is empty."""
+    dot = (
+        f"aggregate(map_entries({left}.grams), 0, "
+        f"(t, e) -> t + e.value * coalesce(try_element_at({right}.grams, e.key), 0))"
     )
-    size = F.sqrt(squared_norm(left).cast("double")) * F.sqrt(squared_norm(right).cast("double"))
-    return F.try_divide(dot.cast("double"), size)
+    return f"try_divide(cast({dot} as double), {left}.norm * {right}.norm)"
 
 
 def with_cosine(df: DataFrame, left: str, right: str, into: str) -> DataFrame:
     """Cosine of two text columns of a table."""
     plain = df.withColumns({"__l": plain_text(quoted(left)), "__r": plain_text(quoted(right))})
-    vectors = plain.withColumns({"__l": gram_vector(F.col("__l")), "__r": gram_vector(F.col("__r"))})
-    return vectors.withColumn(into, vector_cosine(F.col("__l"), F.col("__r"))).drop("__l", "__r")
+    vectors = plain.withColumns({c: F.expr(gram_vector(c)) for c in ("__l", "__r")})
+    return vectors.withColumn(into, F.expr(vector_cosine("__l", "__r"))).drop("__l", "__r")
 
 
 # --- edit measures
@@ -117,83 +113,61 @@ def threshold_feature(score: Column, threshold: float = fixed.MATCH_THRESHOLD) -
     return flag(score >= F.lit(threshold))
 
 
-# --- tokens for candidate joins
+# --- tokens for candidate joins, as SQL of an array of strings
 
-def rarity_bucket(token: Column) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(RARITY_BUCKETS)).cast("int")
+def rarity_bucket(token: str) -> str:
+    return f"cast(pmod(xxhash64({token}), {RARITY_BUCKETS}) as int)"
 
 
-def _rarest_first(tokens: Column, rarity: list[int]) -> Column:
-    """Tokens in one order shared by all records: rare hash buckets first."""
-    table = F.lit(rarity)
-    ranked = F.transform(
-        tokens, lambda t: F.struct(F.get(table, rarity_bucket(t["g"])).alias("f"), t["g"].alias("g"), t["k"].alias("k"))
-    )
-    return F.array_sort(ranked)
+def _rarest_first(entries: str, rarity: Sequence[int]) -> str:
+    """(g, k) entries in one order shared by all records: rare hash buckets first."""
+    table = f"cast(split('{','.join(map(str, rarity))}', ',') as array<bigint>)"
+    ranked = f"named_struct('f', get({table}, {rarity_bucket('e.g')}), 'g', e.g, 'k', e.k)"
+    return f"array_sort(transform({entries}, e -> {ranked}))"
 
 
-def cosine_tokens(vector: Column, rarity: list[int], threshold: float) -> Column:
+def cosine_tokens(vector: str, rarity: Sequence[int], threshold: float) -> str:
     """Grams up to where the rest of the vector can no longer reach the threshold alone."""
-    entries = F.transform(F.map_entries(vector), lambda e: F.struct(e["key"].alias("g"), e["value"].alias("k")))
-    ranked = _rarest_first(entries, rarity)
-
-    def cut(ordered: Column) -> Column:
-        def rest(i: Column) -> Column:
-            tail = F.slice(ordered, i + 1, F.size(ordered))
-            return F.aggregate(tail, F.lit(0), lambda total, e: total + e["k"] * e["k"])
-
-        marked = F.transform(ordered, lambda e, i: F.struct(e["g"].alias("g"), rest(i).alias("rest")))
-        enough = F.get(marked, F.lit(0))["rest"] * F.lit(threshold * threshold * (1 - SLACK))
-        return let(enough, lambda least: F.filter(marked, lambda e: e["rest"] >= least))
-
-    return F.transform(let(ranked, cut), lambda e: e["g"])
-
+    entries = f"transform(map_entries({vector}.grams), e -> named_struct('g', e.key, 'k', e.value))"
+    rest = "aggregate(slice(o, i + 1, size(o)), 0, (t, x) -> t + x.k * x.k)"
+    least = f"{vector}.norm * {vector}.norm * {threshold * threshold * (1 - SLACK)!r}D"
+    marked = f"transform(o, (e, i) -> named_struct('g', e.g, 'rest', {rest}))"
+    return let("o", _rarest_first(entries, rarity), f"transform(filter({marked}, e -> e.rest >= {least}), e -> e.g)")
 
-def _numbered(parts: Column) -> Column:
-    """(token, how often it stood before): a multiset as a set."""
 
-    def before(all_parts: Column, g: Column, i: Column) -> Column:
-        return F.size(F.filter(F.slice(all_parts, 1, i), lambda x: x == g))
+def _first(parts: str, rarity: Sequence[int], count: str, lead: str) -> str:
+    """The rarest ``count`` parts, each numbered by how often it stood before."""
+    before = "size(filter(slice(ps, 1, i), x -> x = g))"
+    numbered = let("ps", parts, f"transform(ps, (g, i) -> named_struct('g', g, 'k', {before}))")
+    return f"transform(slice({_rarest_first(numbered, rarity)}, 1, {count}), e -> concat({lead}, e.g, e.k))"
 
-    return let(
-        parts, lambda ps: F.transform(ps, lambda g, i: F.struct(g.alias("g"), before(ps, g, i).alias("k")))
-    )
-
-
-def _first(parts: Column, rarity: list[int], count: Column, lead: Column) -> Column:
-    ranked = F.slice(_rarest_first(_numbered(parts), rarity), 1, count)
-    return F.transform(ranked, lambda e: F.concat(lead, e["g"], e["k"].cast("string")))
 
+def characters(text: str) -> str:
+    return f"filter(split({text}, ''), c -> c <> '')"
 
-def characters(text: Column) -> Column:
-    return F.filter(F.split(text, ""), lambda c: c != "")
 
+def padded_bigrams(text: str) -> str:
+    return let("p", f"concat(char(2), {text}, char(3))", pairs_of_characters("p"))
 
-def padded_bigrams(text: Column) -> Column:
-    return let(F.concat(F.lit("\u0002"), text, F.lit("\u0003")), pairs_of_characters)
 
-
-def damerau_tokens(text: Column, rarity: list[int], threshold: float) -> Column:
+def damerau_tokens(text: str, rarity: Sequence[int], threshold: float) -> str:
     """An edit destroys at most three padded bigrams, so 3k + 1 rare ones cannot all be lost."""
-    longest = F.floor(F.length(text) / F.lit(threshold) + F.lit(SLACK))
-    edits = F.floor(longest * F.lit(1 - threshold) + F.lit(SLACK))
-    return F.when(text != "", _first(padded_bigrams(text), rarity, (edits * 3 + 1).cast("int"), F.lit("")))
+    longest = f"floor(length({text}) / {threshold!r}D + {SLACK!r}D)"
+    edits = f"floor({longest} * {1 - threshold!r}D + {SLACK!r}D)"
+    tokens = _first(padded_bigrams(text), rarity, f"cast({edits} * 3 + 1 as int)", "''")
+    return f"case when {text} <> '' then {tokens} end"
 
 
-def jaro_winkler_tokens(text: Column, rarity: list[int], threshold: float) -> Column:
+def jaro_winkler_tokens(text: str, rarity: Sequence[int], threshold: float) -> str:
     """Characters that a pair must share.
 
     Without an equal first character the plain Jaro score has to reach the
     threshold; with one, the score that four equal first characters can raise to it.
     """
-    length, parts = F.length(text), characters(text)
-
-    def needed(jaro: float) -> Column:
-        share = max(3 * jaro - 2, 0.0)
-        must = F.greatest(F.ceil(length * F.lit(share) - F.lit(SLACK)), F.lit(1))
-        return (length - must + 1).cast("int")
+    def count(jaro: float) -> str:
+        must = f"greatest(ceil(length({text}) * {max(3 * jaro - 2, 0.0)!r}D - {SLACK!r}D), 1)"
+        return f"cast(length({text}) - {must} + 1 as int)"
 
-    raised = (threshold - 0.4) / 0.6
-    plain = _first(parts, rarity, needed(threshold), F.lit("="))
-    led = _first(parts, rarity, needed(raised), F.substring(text, 1, 1))
-    return F.when(text != "", F.concat(plain, led))
+    plain = _first(characters(text), rarity, count(threshold), "'='")
+    led = _first(characters(text), rarity, count((threshold - 0.4) / 0.6), f"substr({text}, 1, 1)")
+    return f"case when {text} <> '' then concat({plain}, {led}) end"

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from leadmill.functions.values import quoted
-from leadmill.operators.joins import attach, pair_up
+from leadmill.operators.joins import attach, fits_broadcast, pair_up
 from leadmill.session import materialise
 
 WINDOW = 3
@@ -60,11 +60,11 @@ def neighbour_keys(
     """
     both = left.select(quoted(left_on)).union(right.select(quoted(right_on)))
     ranks = rank_values(both).toDF("__value", "__rank")
-    half = window // 2
+    half, small = window // 2, fits_broadcast(ranks)
 
     def ranked(side: DataFrame, column: str) -> DataFrame:
         keyed = side.withColumn("__value", quoted(column)).where("__value is not null")
-        return attach(keyed, ranks, ["__value"], "inner").drop("__value")
+        return attach(keyed, ranks, ["__value"], "inner", small).drop("__value")
 
     spread = F.explode(F.sequence(F.col("__rank") - half, F.col("__rank") + half))
     return (

@@ -3,14 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # a key is hot when it holds at least 1/HOT_SHARE of a side, so at most HOT_SHARE keys are hot
 HOT_SHARE = 2_000
 GRID = 64
+# up to this many rows one key is no burden for a task
+KEY_ROWS = 100_000
+
+
+@dataclass(frozen=True)
+class KeyLoad:
+    """What an equi join of two sides would meet."""
+
+    pairs: float
+    rows: float
+    largest: int
+
+    @property
+    def skewed(self) -> bool:
+        return self.largest > KEY_ROWS
+
+
+def key_load(left: DataFrame, right: DataFrame, on: Sequence[str]) -> KeyLoad:
+    """Joined pairs, rows, and rows of the largest key, from one aggregation of the keys alone."""
+    def marked(side: DataFrame, l: int, r: int) -> DataFrame:
+        return side.dropna(subset=list(on)).select(*on, F.lit(l).alias("l"), F.lit(r).alias("r"))
+
+    sizes = marked(left, 1, 0).union(marked(right, 0, 1)).groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    pairs, rows, largest = sizes.agg(
+        F.sum(F.col("l").cast("double") * F.col("r")),
+        F.sum((F.col("l") + F.col("r")).cast("double")),
+        F.max(F.greatest("l", "r")),
+    ).first()
+    return KeyLoad(pairs or 0.0, rows or 0.0, largest or 0)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -32,15 +62,17 @@ def hot_limit(counts: DataFrame, name: str) -> Column:
     return counts.agg(F.greatest(F.coalesce(share, F.lit(1)), F.lit(2)).alias("limit")).scalar()
 
 
-def attach(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+def attach(
+    facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", small: bool | None = None
+) -> DataFrame:
     """Many-to-one join: ``dim`` has one row per key, ``how`` is left or inner.
 
-    A small ``dim`` is broadcast after its size is measured. A large one is
-    shuffled; the ``dim`` rows of hot keys (at most HOT_SHARE) are broadcast, and
+    A small ``dim`` is broadcast after its size is measured, unless the caller
+    has measured it. A large one is shuffled; the ``dim`` rows of hot keys (at most HOT_SHARE) are broadcast, and
     rows without a key never enter the shuffle.
     """
     on = list(on)
-    if fits_broadcast(dim):
+    if fits_broadcast(dim) if small is None else small:
         return facts.join(F.broadcast(dim), on, how)
     counts = key_counts(facts, on, "__n")
     hot = F.broadcast(counts.where(F.col("__n") >= hot_limit(counts, "__n")).select(*on))
@@ -56,14 +88,20 @@ def attach(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left
     return joined.unionByName(facts.where(missing), allowMissingColumns=True)
 
 
-def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None) -> DataFrame:
     """Many-to-many inner join whose hot keys are cut into a grid of salted cells.
 
+    Where no key has more than KEY_ROWS rows, which is measured unless the caller
+    knows, it is a plain join.
     The rows of a hot key are dealt out by a hash of the whole row, so a retried
     task deals them the same way. Rows of the other side are copied along the
     grid only for hot keys, and at most GRID times.
     """
     on = list(on)
+    if skewed is None:
+        skewed = key_load(left, right, on).skewed
+    if not skewed:
+        return left.join(right, on)
     lefts, rights = key_counts(left, on, "__nl"), key_counts(right, on, "__nr")
     left_limit, right_limit = hot_limit(lefts, "__nl"), hot_limit(rights, "__nr")
     both = lefts.join(rights, on)
@@ -77,7 +115,7 @@ def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
     def dealt(side: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
-        row = F.xxhash64(*[F.col(f"`{c}`") for c in side.columns])
+        row = F.xxhash64(*[F.col(f"`{f.name}`") for f in side.schema if not isinstance(f.dataType, T.MapType)])
         ways = F.coalesce(F.col(other), F.lit(1))
         return (
             side.dropna(subset=on)

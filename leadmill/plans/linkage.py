@@ -22,7 +22,7 @@ from leadmill.functions import similarity as S, values as V
 from leadmill.functions.values import quoted
 from leadmill.operators.candidates import block_keys, neighbour_keys
 from leadmill.operators.columns import clean_column_names, fill_missing, lowercase_strings
-from leadmill.operators.joins import attach, key_counts, pair_up
+from leadmill.operators.joins import attach, key_load, pair_up
 from leadmill.session import materialise
 
 # blocks are paired whole while the pairs stay within a small multiple of the rows
@@ -124,11 +124,12 @@ def make_plan(
 # --- features of a pair
 
 def _feature(f: Feature) -> Column:
+    if f.method == COSINE:
+        score = F.expr(S.vector_cosine(S.named(f"l:{f.left}"), S.named(f"r:{f.right}")))
+        return S.threshold_feature(score)
     left, right = quoted(f"l:{f.left}"), quoted(f"r:{f.right}")
     if f.method == EXACT:
         return S.exact_feature(left, right)
-    if f.method == COSINE:
-        return S.threshold_feature(S.vector_cosine(left, right))
     if f.method == JARO_WINKLER:
         return S.threshold_feature(S.jaro_winkler(left, right))
     return S.threshold_feature(S.damerau_levenshtein(left, right, fixed.MATCH_THRESHOLD))
@@ -149,7 +150,7 @@ def _prepared(side: DataFrame, own_id: str, tag: str, columns: dict[str, set[str
     values = [V.nan_to_null(quoted(c), V.data_type(side, c)).alias(tag + c) for c in columns]
     narrow = side.select(quoted(own_id), *map(quoted, extra), *values)
     narrow = narrow.withColumns({c: S.plain_text(quoted(c)) for c in vectors})
-    return narrow.withColumns({c: S.gram_vector(quoted(c)) for c in vectors})
+    return narrow.withColumns({c: F.expr(S.gram_vector(S.named(c))) for c in vectors})
 
 
 def _sides(left: DataFrame, right: DataFrame, plan: LinkPlan, left_id: str, right_id: str, extra: Sequence[str]):
@@ -163,34 +164,23 @@ def _sides(left: DataFrame, right: DataFrame, plan: LinkPlan, left_id: str, righ
 
 # --- pairs that share a block and a hit
 
-def _block_volume(lefts: DataFrame, rights: DataFrame) -> tuple[float, float]:
-    """Pairs if every block were paired whole, and rows of both sides."""
-    a, b = key_counts(lefts, ["__block"], "__nl"), key_counts(rights, ["__block"], "__nr")
-    sizes = a.join(b, "__block", "full").select(
-        F.coalesce("__nl", F.lit(0)).cast("double").alias("l"), F.coalesce("__nr", F.lit(0)).cast("double").alias("r")
-    )
-    pairs, rows = sizes.agg(F.sum(F.col("l") * F.col("r")), F.sum(F.col("l") + F.col("r"))).first()
-    return pairs or 0.0, rows or 0.0
-
-
-def _whole_blocks(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id: str, right_id: str) -> DataFrame:
+def _whole_blocks(
+    lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id: str, right_id: str, skewed: bool
+) -> DataFrame:
     a, b = _sides(lefts, rights, plan, left_id, right_id, ["__block"])
-    return _score(pair_up(a, b, ["__block"]), plan, [left_id, right_id])
+    return _score(pair_up(a, b, ["__block"], skewed), plan, [left_id, right_id])
 
 
-def _token_sets(f: Feature, value: Column, rarity: list[int]) -> Column:
+def _token_sets(f: Feature, value: str, rarity: Sequence[int]) -> str:
     if f.method == EXACT:
-        return F.when(value.isNotNull(), F.array(value.cast("string")))
-    if f.method == COSINE:
-        return S.cosine_tokens(value, rarity, fixed.MATCH_THRESHOLD)
-    if f.method == JARO_WINKLER:
-        return S.jaro_winkler_tokens(value, rarity, fixed.MATCH_THRESHOLD)
-    return S.damerau_tokens(value, rarity, fixed.MATCH_THRESHOLD)
+        return f"case when {value} is not null then array(cast({value} as string)) end"
+    tokens = {COSINE: S.cosine_tokens, JARO_WINKLER: S.jaro_winkler_tokens, DAMERAU: S.damerau_tokens}
+    return tokens[f.method](value, rarity, fixed.MATCH_THRESHOLD)
 
 
-def _parts(f: Feature, value: Column) -> Column:
+def _parts(f: Feature, value: str) -> str:
     if f.method == COSINE:
-        return F.map_keys(value)
+        return f"map_keys({value}.grams)"
     return S.characters(value) if f.method == JARO_WINKLER else S.padded_bigrams(value)
 
 
@@ -205,8 +195,8 @@ def _rarity(a: DataFrame, b: DataFrame, plan: LinkPlan) -> list[list[int]]:
         if f.method == EXACT:
             continue
         for side, name in ((a, f"l:{f.left}"), (b, f"r:{f.right}")):
-            bucket = F.explode(F.transform(_parts(f, quoted(name)), S.rarity_bucket))
-            counted.append(side.select(F.lit(i).alias("feature"), bucket.alias("bucket")))
+            bucket = f"explode(transform({_parts(f, S.named(name))}, t -> {S.rarity_bucket('t')}))"
+            counted.append(side.selectExpr(f"{i} as feature", f"{bucket} as bucket"))
     if counted:
         for row in reduce(DataFrame.unionByName, counted).groupBy("feature", "bucket").count().collect():
             tables[row["feature"]][row["bucket"]] = row["count"]
@@ -239,13 +229,11 @@ def _shared_tokens(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id:
 
     def tokens(side: DataFrame, tag: str, mine) -> DataFrame:
         sets = [
-            F.transform(
-                F.coalesce(_token_sets(f, quoted(tag + mine(f)), rarity[i]), F.array().cast("array<string>")),
-                lambda t, i=i: F.xxhash64(F.lit(i), t),
-            )
+            f"transform(coalesce({_token_sets(f, S.named(tag + mine(f)), rarity[i])}, cast(array() as array<string>)), "
+            f"t -> xxhash64({i}, t))"
             for i, f in enumerate(plan.features)
         ]
-        return side.withColumn(f"{tag}t", F.array_sort(F.array_distinct(F.concat(*sets))))
+        return side.withColumn(f"{tag}t", F.expr(f"array_sort(array_distinct(concat({', '.join(sets)})))"))
 
     a, b = tokens(a, "l:", lambda f: f.left), tokens(b, "r:", lambda f: f.right)
     met = pair_up(
@@ -290,12 +278,14 @@ def matching_pairs(
                 a,
                 b,
             )
+            blocks = key_load(lefts, rights, ["__block"])
             whole = whole_blocks
             if whole is None:
-                pairs, rows = _block_volume(lefts, rights)
-                whole = pairs <= max(PAIRS_AT_LEAST, PAIRS_PER_ROW * rows)
-            way = _whole_blocks if whole else _shared_tokens
-            found.append(way(lefts, rights, plan, left_id, right_id))
+                whole = blocks.pairs <= max(PAIRS_AT_LEAST, PAIRS_PER_ROW * blocks.rows)
+            if whole:
+                found.append(_whole_blocks(lefts, rights, plan, left_id, right_id, blocks.skewed))
+            else:
+                found.append(_shared_tokens(lefts, rights, plan, left_id, right_id))
     if len(found) == 1 and not plan.neighbours:
         return found[0]
     return reduce(DataFrame.unionByName, found).dropDuplicates([left_id, right_id])
@@ -345,7 +335,7 @@ def join_output(
     tail = other.withColumnsRenamed({c: c + suffixes[1] for c in clash})
     tail = tail if lead_id not in tail.columns else tail.withColumnRenamed(lead_id, lead_id + suffixes[1])
     lead = lead if other_id not in lead.columns else lead.withColumnRenamed(other_id, other_id + suffixes[0])
-    matched = attach(attach(pairs, lead, [lead_id], "inner"), tail, [other_id], "inner")
+    matched = attach(attach(pairs, lead, [lead_id], "inner"), tail, [other_id])
     partners = pairs.select(quoted(lead_id)).distinct()
     alone = lead.join(partners, lead_id, "left_anti")
     features = [c for c in pairs.columns if c not in (lead_id, other_id)]
