@@ -235,7 +235,8 @@ def _shared_tokens(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id:
         ]
         return side.withColumn(f"{tag}t", F.expr(f"array_sort(array_distinct(concat({', '.join(sets)})))"))
 
-    a, b = tokens(a, "l:", lambda f: f.left), tokens(b, "r:", lambda f: f.right)
+    a = materialise(tokens(a, "l:", lambda f: f.left), "left-tokens")
+    b = materialise(tokens(b, "r:", lambda f: f.right), "right-tokens")
     met = pair_up(
         a.withColumn("__token", F.explode(quoted("l:t"))),
         b.withColumn("__token", F.explode(quoted("r:t"))),
@@ -243,7 +244,7 @@ def _shared_tokens(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id:
     )
     # a pair that shares several tokens is scored under the least of them only
     once = F.col("__token") == F.array_min(F.array_intersect(quoted("l:t"), quoted("r:t")))
-    scored = _score(met.where(once), plan, ["__lp", "__rp"])
+    scored = materialise(_score(met.where(once), plan, ["__lp", "__rp"]), "profile-pairs")
     with_left = pair_up(scored, left_members, ["__lp"]).drop("__lp")
     return pair_up(with_left, right_members, ["__rp"]).select(
         quoted(left_id), quoted(right_id), *map(quoted, plan.labels)
