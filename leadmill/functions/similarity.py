@@ -43,19 +43,22 @@ def plain_text(text: Column) -> Column:
     return without_accents(F.lower(text))
 
 
-def pairs_of_characters(text: str) -> str:
-    return f"transform(sequence(1, length({text}) - 1), i -> substr({text}, i, 2))"
+# every place where two characters follow each other, not both of them blank; the second
+# half of a surrogate pair starts nothing
+OVERLAPPING = r"(?s)(?![\x{DC00}-\x{DFFF}])(?=(.[^ ]|[^ ].))"
+
+OVERLAPPING_ANY = r"(?s)(?![\x{DC00}-\x{DFFF}])(?=(..))"
 
 
 def gram_vector(plain: str) -> str:
     """SQL of a struct with bigram counts and their norm, of a plain text; once per record.
 
-    The bigrams are those of the words, each padded with blanks.
+    The bigrams are those of the words, each padded with blanks: two blanks between
+    words give each word its own, and a bigram of two blanks belongs to none.
     """
-    words = f"filter(split({plain}, r'(?U)\\s+'), w -> w <> '')"
-    padded = f"transform({words}, w -> concat(' ', w, ' '))"
-    grams = f"coalesce(flatten(transform({padded}, p -> {pairs_of_characters('p')})), cast(array() as array<string>))"
-    counts = "map_from_arrays(array_distinct(gs), transform(array_distinct(gs), g -> size(filter(gs, x -> x = g))))"
+    words = f"regexp_replace(trim(regexp_replace({plain}, r'(?U)\\s+', ' ')), ' ', '  ')"
+    grams = f"case when {plain} <> '' then regexp_extract_all(concat(' ', {words}, ' '), r'{OVERLAPPING}', 1) else array() end"
+    counts = "map_from_arrays(array_distinct(gs), transform(array_distinct(gs), g -> size(gs) - size(array_remove(gs, g))))"
     norm = "sqrt(cast(aggregate(map_values(m), 0, (t, n) -> t + n * n) as double))"
     return let("gs", grams, let("m", counts, f"named_struct('grams', m, 'norm', {norm})"))
 
@@ -97,10 +100,9 @@ def jaro_winkler(left: Column, right: Column) -> Column:
     return _scored(left, right, _jaro_winkler_batch, F.lit(True))
 
 
-def damerau_levenshtein(left: Column, right: Column, at_least: float = 0.0) -> Column:
-    """1 - distance / longer length; below ``at_least`` the score may read 0."""
-    short, long = F.least(F.length(left), F.length(right)), F.greatest(F.length(left), F.length(right))
-    return _scored(left, right, _damerau_batch, short >= long * F.lit(at_least - SLACK))
+def damerau_levenshtein(left: Column, right: Column) -> Column:
+    """1 - distance / longer length."""
+    return _scored(left, right, _damerau_batch, F.lit(True))
 
 
 # --- 0/1 features
@@ -113,6 +115,35 @@ def threshold_feature(score: Column, threshold: float = fixed.MATCH_THRESHOLD) -
     return flag(score >= F.lit(threshold))
 
 
+def jaro_winkler_feature(left: str, right: str, threshold: float = fixed.MATCH_THRESHOLD) -> Column:
+    """1 where Jaro-Winkler of two columns reaches the threshold.
+
+    Lengths and the common start bound the score from above in the JVM; only pairs
+    that can still reach the threshold are scored in Python.
+    """
+    a, b = named(left), named(right)
+    shared = f"least(length({a}), length({b}))"
+    jaro = f"({shared} / nullif(length({a}), 0) + {shared} / nullif(length({b}), 0) + 1) / 3"
+    start = " + ".join(f"cast(substr({a}, 1, {n}) = substr({b}, 1, {n}) as int)" for n in range(1, 5))
+    can = F.expr(f"{jaro} + ({start}) * 0.1D * (1 - {jaro}) >= {threshold - SLACK!r}D")
+    return threshold_feature(_scored(quoted(left), quoted(right), _jaro_winkler_batch, can), threshold)
+
+
+def damerau_levenshtein_feature(left: str, right: str, threshold: float = fixed.MATCH_THRESHOLD) -> Column:
+    """1 where 1 - distance / longer length of two columns reaches the threshold.
+
+    The plain edit distance, which the JVM computes within a bound, is at least this
+    distance and at most twice it; only pairs between the two go to Python.
+    """
+    a, b = named(left), named(right)
+    edits = f"cast(floor(greatest(length({a}), length({b})) * {1 - threshold!r}D + {SLACK!r}D) as int)"
+    plain = F.expr(f"levenshtein({a}, {b}, 2 * {edits})")
+    near = (plain >= 0) & (plain <= F.expr(edits))
+    rest = _scored(quoted(left), quoted(right), _damerau_batch, plain > F.expr(edits))
+    filled = F.expr(f"{a} <> '' and {b} <> ''")
+    return F.when(filled & near, F.lit(1).cast("bigint")).otherwise(threshold_feature(rest, threshold - SLACK))
+
+
 # --- tokens for candidate joins, as SQL of an array of strings
 
 def rarity_bucket(token: str) -> str:
@@ -147,7 +178,7 @@ def characters(text: str) -> str:
 
 
 def padded_bigrams(text: str) -> str:
-    return let("p", f"concat(char(2), {text}, char(3))", pairs_of_characters("p"))
+    return f"regexp_extract_all(concat(char(2), {text}, char(3)), r'{OVERLAPPING_ANY}', 1)"
 
 
 def damerau_tokens(text: str, rarity: Sequence[int], threshold: float) -> str:

@@ -88,20 +88,22 @@ def attach(
     return joined.unionByName(facts.where(missing), allowMissingColumns=True)
 
 
-def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None) -> DataFrame:
-    """Many-to-many inner join whose hot keys are cut into a grid of salted cells.
+def deal_sides(
+    left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides made ready for a many-to-many inner join, and the columns to join on.
 
     Where no key has more than KEY_ROWS rows, which is measured unless the caller
-    knows, it is a plain join.
-    The rows of a hot key are dealt out by a hash of the whole row, so a retried
-    task deals them the same way. Rows of the other side are copied along the
-    grid only for hot keys, and at most GRID times.
+    knows, the sides stay as they are. Otherwise hot keys are cut into a grid of
+    salted cells. The rows of a hot key are dealt out by a hash of the row, so a
+    retried task deals them the same way. Rows of the other side are copied along
+    the grid only for hot keys, and at most GRID times.
     """
     on = list(on)
     if skewed is None:
         skewed = key_load(left, right, on).skewed
     if not skewed:
-        return left.join(right, on)
+        return left, right, on
     lefts, rights = key_counts(left, on, "__nl"), key_counts(right, on, "__nr")
     left_limit, right_limit = hot_limit(lefts, "__nl"), hot_limit(rights, "__nr")
     both = lefts.join(rights, on)
@@ -125,9 +127,23 @@ def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool |
             .drop("__wl", "__wr")
         )
 
-    grid = [*on, "__cl", "__cr"]
     return (
-        dealt(left, "__wl", "__wr", "__cl", "__cr")
-        .join(dealt(right, "__wr", "__wl", "__cr", "__cl"), grid)
-        .drop("__cl", "__cr")
+        dealt(left, "__wl", "__wr", "__cl", "__cr"),
+        dealt(right, "__wr", "__wl", "__cr", "__cl"),
+        [*on, "__cl", "__cr"],
     )
+
+
+def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None) -> DataFrame:
+    """Many-to-many inner join that holds with hot keys on either side."""
+    lefts, rights, keys = deal_sides(left, right, on, skewed)
+    return lefts.join(rights, keys).drop("__cl", "__cr")
+
+
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition on the keys of a coming join whose rows are costly to work on.
+
+    A stated number of partitions is not merged at run time by size in bytes, which
+    says little about the work.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -22,7 +22,7 @@ from leadmill.functions import similarity as S, values as V
 from leadmill.functions.values import quoted
 from leadmill.operators.candidates import block_keys, neighbour_keys
 from leadmill.operators.columns import clean_column_names, fill_missing, lowercase_strings
-from leadmill.operators.joins import attach, key_load, pair_up
+from leadmill.operators.joins import attach, deal_sides, key_load, pair_up, spread
 from leadmill.session import materialise
 
 # blocks are paired whole while the pairs stay within a small multiple of the rows
@@ -49,10 +49,26 @@ class LinkPlan:
     features: tuple[Feature, ...]
     notes: tuple[str, ...] = field(default=())
 
+    def __post_init__(self) -> None:
+        for tag, vectors, columns in (
+            ("left", self.left_vectors, [f.left for f in self.features if f.method != COSINE]),
+            ("right", self.right_vectors, [f.right for f in self.features if f.method != COSINE]),
+        ):
+            if set(vectors) & set(columns):
+                raise ValueError(f"{tag} columns compared in two ways: {sorted(set(vectors) & set(columns))}")
+
     @property
     def labels(self) -> list[str]:
         return [f.label for f in self.features]
 
+    @property
+    def left_vectors(self) -> list[str]:
+        return [f.left for f in self.features if f.method == COSINE]
+
+    @property
+    def right_vectors(self) -> list[str]:
+        return [f.right for f in self.features if f.method == COSINE]
+
 
 # --- rules
 
@@ -127,39 +143,36 @@ def _feature(f: Feature) -> Column:
     if f.method == COSINE:
         score = F.expr(S.vector_cosine(S.named(f"l:{f.left}"), S.named(f"r:{f.right}")))
         return S.threshold_feature(score)
-    left, right = quoted(f"l:{f.left}"), quoted(f"r:{f.right}")
     if f.method == EXACT:
-        return S.exact_feature(left, right)
-    if f.method == JARO_WINKLER:
-        return S.threshold_feature(S.jaro_winkler(left, right))
-    return S.threshold_feature(S.damerau_levenshtein(left, right, fixed.MATCH_THRESHOLD))
+        return S.exact_feature(quoted(f"l:{f.left}"), quoted(f"r:{f.right}"))
+    edit = S.jaro_winkler_feature if f.method == JARO_WINKLER else S.damerau_levenshtein_feature
+    return edit(f"l:{f.left}", f"r:{f.right}")
 
 
 def _score(pairs: DataFrame, plan: LinkPlan, ids: Sequence[str]) -> DataFrame:
-    """Ids and 0/1 features of the pairs that have at least one hit."""
-    scored = pairs.select(*map(quoted, ids), *[_feature(f).alias(f.label) for f in plan.features])
-    return scored.where(reduce(lambda a, b: a + b, map(quoted, plan.labels)) >= 1)
+    """Ids and 0/1 features of the pairs that have at least one hit.
+
+    The features pass through a generator, which the filter cannot be pushed
+    below: otherwise every similarity would be computed for the filter and again
+    for the output.
+    """
+    features = F.struct(*[_feature(f).alias(f.label) for f in plan.features])
+    scored = pairs.select(*map(quoted, ids), features.alias("__f"))
+    unpacked = scored.select(*map(quoted, ids), F.inline(F.array("__f")))
+    return unpacked.where(reduce(lambda a, b: a + b, map(quoted, plan.labels)) >= 1)
 
 
-def _prepared(side: DataFrame, own_id: str, tag: str, columns: dict[str, set[str]], extra: Sequence[str]) -> DataFrame:
-    """Id, extra columns and the compare columns under tagged names, texts as gram vectors where needed."""
-    mixed = [c for c, methods in columns.items() if COSINE in methods and len(methods) > 1]
-    if mixed:
-        raise ValueError(f"columns compared in two ways: {mixed}")
-    vectors = [tag + c for c, methods in columns.items() if COSINE in methods]
-    values = [V.nan_to_null(quoted(c), V.data_type(side, c)).alias(tag + c) for c in columns]
-    narrow = side.select(quoted(own_id), *map(quoted, extra), *values)
-    narrow = narrow.withColumns({c: S.plain_text(quoted(c)) for c in vectors})
-    return narrow.withColumns({c: F.expr(S.gram_vector(S.named(c))) for c in vectors})
+def _narrow(side: DataFrame, own_id: str, tag: str, columns: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    """Id, extra columns and the compare columns under tagged names."""
+    values = [V.nan_to_null(quoted(c), V.data_type(side, c)).alias(tag + c) for c in dict.fromkeys(columns)]
+    return side.select(quoted(own_id), *map(quoted, extra), *values)
 
 
-def _sides(left: DataFrame, right: DataFrame, plan: LinkPlan, left_id: str, right_id: str, extra: Sequence[str]):
-    lefts: dict[str, set[str]] = {}
-    rights: dict[str, set[str]] = {}
-    for f in plan.features:
-        lefts.setdefault(f.left, set()).add(f.method)
-        rights.setdefault(f.right, set()).add(f.method)
-    return _prepared(left, left_id, "l:", lefts, extra), _prepared(right, right_id, "r:", rights, extra)
+def _with_vectors(narrow: DataFrame, tag: str, columns: Sequence[str]) -> DataFrame:
+    """Texts compared by cosine turned into gram vectors, once per record."""
+    names = [tag + c for c in dict.fromkeys(columns)]
+    plain = narrow.withColumns({c: S.plain_text(quoted(c)) for c in names})
+    return plain.withColumns({c: F.expr(S.gram_vector(S.named(c))) for c in names})
 
 
 # --- pairs that share a block and a hit
@@ -167,8 +180,17 @@ def _sides(left: DataFrame, right: DataFrame, plan: LinkPlan, left_id: str, righ
 def _whole_blocks(
     lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id: str, right_id: str, skewed: bool
 ) -> DataFrame:
-    a, b = _sides(lefts, rights, plan, left_id, right_id, ["__block"])
-    return _score(pair_up(a, b, ["__block"], skewed), plan, [left_id, right_id])
+    """Pair and score the rows of each block.
+
+    The plain columns are shuffled; gram vectors, which are larger, are made after
+    the shuffle, in the tasks that pair the rows.
+    """
+    a = _narrow(lefts, left_id, "l:", [f.left for f in plan.features], ["__block"])
+    b = _narrow(rights, right_id, "r:", [f.right for f in plan.features], ["__block"])
+    a, b, keys = deal_sides(a, b, ["__block"], skewed)
+    a = _with_vectors(spread(a, keys), "l:", plan.left_vectors)
+    b = _with_vectors(spread(b, keys), "r:", plan.right_vectors)
+    return _score(a.join(b, keys), plan, [left_id, right_id])
 
 
 def _token_sets(f: Feature, value: str, rarity: Sequence[int]) -> str:
@@ -224,7 +246,9 @@ def _shared_tokens(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id:
     right_profiles, right_members = _profiles(
         rights, ["__block", *[f.right for f in plan.features]], right_id, "__rp"
     )
-    a, b = _sides(left_profiles, right_profiles, plan, "__lp", "__rp", ["__block"])
+    a = _narrow(left_profiles, "__lp", "l:", [f.left for f in plan.features], ["__block"])
+    b = _narrow(right_profiles, "__rp", "r:", [f.right for f in plan.features], ["__block"])
+    a, b = _with_vectors(a, "l:", plan.left_vectors), _with_vectors(b, "r:", plan.right_vectors)
     rarity = _rarity(a, b, plan)
 
     def tokens(side: DataFrame, tag: str, mine) -> DataFrame:
