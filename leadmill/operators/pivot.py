@@ -10,6 +10,7 @@ from leadmill.functions import values as V
 from leadmill.functions.values import quoted
 from leadmill.operators.aggregate import add_totals, aggregate, as_list, group_data, not_null
 from leadmill.operators.columns import drop_duplicates
+from leadmill.session import materialise
 
 # a report with more columns than this is refused, never cut
 MOST_PIVOT_VALUES = 10_000
@@ -74,6 +75,9 @@ def pivot_group_data(
     if drop_columns:
         df = drop_duplicates(df, as_list(drop_columns) + groups + pivots)
     grouped = group_data(df, groups + pivots, column_name, method, aggregate_column, sort=False)
+    if values is None:
+        # the groups are read once for the column names and once for the table
+        grouped = materialise(grouped, "pivot-groups")
     measures = list(column_name.values()) if isinstance(column_name, Mapping) else column_name
     table = pivot_data(grouped, groups, pivots, measures, values=values)
     if row_total or col_total:

@@ -35,10 +35,13 @@ def members_with_opportunities(
     def bucket(moment: Column) -> Column:
         return F.floor(V.days_between(epoch, moment) / BUCKET_DAYS)
 
-    spans = F.explode(F.sequence(bucket(opened), bucket(closed)))
+    # no bucket beyond the responses is needed, however long an opportunity stays open
+    low, high = members.agg(F.min(bucket(answered)), F.max(bucket(answered))).first()
+    first, last = F.greatest(bucket(opened), F.lit(low or 0)), F.least(bucket(closed), F.lit(high or 0))
+    live = opportunities.where((opened <= closed) & (first <= last))
     met = pair_up(
         members.select("*", account[0], bucket(answered).alias("__bucket")),
-        opportunities.where(opened <= closed).select("*", account[1], spans.alias("__bucket")),
+        live.select("*", account[1], F.explode(F.sequence(first, last)).alias("__bucket")),
         ["__account", "__bucket"],
     )
     return met.where(answered.between(opened, closed)).drop("__account", "__bucket")

@@ -311,7 +311,7 @@ def matching_pairs(
                 found.append(_whole_blocks(lefts, rights, plan, left_id, right_id, blocks.skewed))
             else:
                 found.append(_shared_tokens(lefts, rights, plan, left_id, right_id))
-    if len(found) == 1 and not plan.neighbours:
+    if len(found) == 1:
         return found[0]
     return reduce(DataFrame.unionByName, found).dropDuplicates([left_id, right_id])
 

@@ -12,8 +12,9 @@ from leadmill.functions import values as V
 from leadmill.functions.values import quoted
 from leadmill.operators.aggregate import add_totals, as_list
 from leadmill.operators.columns import fill_missing
-from leadmill.operators.pivot import pivot_values
+from leadmill.operators.pivot import MOST_PIVOT_VALUES
 from leadmill.operators.touches import stage_counts
+from leadmill.session import materialise
 
 
 @dataclass
@@ -52,6 +53,23 @@ def _ordered(values: Sequence[str], order: Sequence[str] | None) -> list[str]:
     return [v for v in order if v in values] + [v for v in values if v not in order]
 
 
+def _counted(df: DataFrame, keys: list[str], stages: Sequence[str]) -> DataFrame:
+    """The counts, stored: every table of a report reads them instead of the touches."""
+    return materialise(stage_counts(df, keys, stages), "stage-counts")
+
+
+def _values_by_stage(
+    counts: DataFrame, pivot_column: str, stages: Sequence[str], order: Sequence[str] | None
+) -> dict[str, list[str]]:
+    """The pivot values that occur in each stage; too many are refused."""
+    most = MOST_PIVOT_VALUES * len(stages)
+    pairs = counts.select("stage", quoted(pivot_column).cast("string").alias("value")).distinct()
+    found = pairs.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"column {pivot_column!r} has too many values to pivot")
+    return {s: _ordered(sorted(row.value for row in found if row.stage == s), order) for s in stages}
+
+
 def by_stage(
     df: DataFrame,
     stages: Sequence[str],
@@ -67,7 +85,7 @@ def by_stage(
     """
     groups = as_list(group_columns)
     if pivot_column is None:
-        counts = stage_counts(df, groups, stages)
+        counts = _counted(df, groups, stages)
         tables = {
             s: counts.where(F.col("stage") == s).select(*map(quoted, groups), F.col("n").alias(s))
             for s in stages
@@ -75,10 +93,10 @@ def by_stage(
         cells = {f"Avg_{s}": {"stage": s} for s in stages}
         long = _averages(counts, output_column, [])
     else:
-        values = _ordered(pivot_values(df, pivot_column), column_order)
-        counts = stage_counts(df, [*groups, pivot_column], stages)
-        tables = {s: _stage_table(counts, s, groups, pivot_column, values) for s in stages}
-        cells = {f"{s}_Avg_{v}": {"stage": s, pivot_column: v} for s in stages for v in values}
+        counts = _counted(df, [*groups, pivot_column], stages)
+        values = _values_by_stage(counts, pivot_column, stages, column_order)
+        tables = {s: _stage_table(counts, s, groups, pivot_column, values[s]) for s in stages}
+        cells = {f"{s}_Avg_{v}": {"stage": s, pivot_column: v} for s in stages for v in values[s]}
         long = _averages(counts, output_column, [pivot_column])
     averages = _wide(long, ["is_total", output_column], cells, "value")
     return StageReport(tables, averages.orderBy("is_total", output_column).drop("is_total"))
@@ -102,14 +120,14 @@ def channels_by_stage(
 ) -> StageReport:
     """Per stage: pivoted counts with a row total, and averages without it; gaps filled."""
     groups = as_list(group_columns)
-    values = _ordered(pivot_values(df, pivot_column), column_order)
-    counts = stage_counts(df, [*groups, pivot_column], stages)
+    counts = _counted(df, [*groups, pivot_column], stages)
+    values = _values_by_stage(counts, pivot_column, stages, column_order)
     long = _averages(counts, output_column, [pivot_column])
     tables, averages = {}, {}
     for s in stages:
-        table = _stage_table(counts, s, groups, pivot_column, values)
+        table = _stage_table(counts, s, groups, pivot_column, values[s])
         tables[s] = fill_missing(add_totals(table, groups, row_total=True))
-        cells = {f"Avg_{v}": {pivot_column: v} for v in values}
+        cells = {f"Avg_{v}": {pivot_column: v} for v in values[s]}
         wide = _wide(long.where(F.col("stage") == s), ["is_total", output_column], cells, "value")
         averages[s] = fill_missing(wide.orderBy("is_total", output_column).drop("is_total"))
     return StageReport(tables, averages)

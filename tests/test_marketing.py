@@ -149,13 +149,17 @@ def test_touch_bounds(spark):
 
 def test_stage_report(spark):
     flagged = T.campaign_touch_by_stage(touches(spark))
+    flagged = flagged.union(flagged.where("CM_MemberId = 'm1'").withColumn("CM_CampaignChannels", F.lit("app")))
     report = S.by_stage(flagged, list(fixed.TOUCH_STAGES), ["o", "r"], "r", "CM_CampaignChannels", column_order=["web", "mail"])
-    assert report.averages.columns[:3] == ["r", "Stage1Touch_Avg_web", "Stage1Touch_Avg_mail"]
+    # a stage has columns for the values that occur in it
+    assert report.averages.columns == [
+        "r", "Stage1Touch_Avg_web", "Stage1Touch_Avg_app", "Stage2Touch_Avg_mail", "Stage5Touch_Avg_mail", "Stage5Touch_Avg_app"
+    ]
     assert [r.r for r in report.averages.collect()] == ["r1", "Total Average"]
-    assert rows(report.counts["Stage1Touch"]) == [("o1", "r1", 2, 0)]
+    assert rows(report.counts["Stage1Touch"]) == [("o1", "r1", 2, 1)]
     channels = S.channels_by_stage(flagged, ["Stage1Touch"], ["o", "r"], "CM_CampaignChannels", "r")
-    assert rows(channels.counts["Stage1Touch"]) == [("o1", "r1", 0, 2, 2)]
-    assert rows(channels.averages["Stage1Touch"]) == [("r1", 0.0, 2.0), ("Total Average", 0.0, 2.0)]
+    assert rows(channels.counts["Stage1Touch"]) == [("o1", "r1", 1, 2, 3)]
+    assert rows(channels.averages["Stage1Touch"]) == [("r1", 1.0, 2.0), ("Total Average", 1.0, 2.0)]
 
 
 def test_top_channels_are_aligned_by_rank(spark):
