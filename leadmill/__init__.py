@@ -1 +1 @@
-"""Marketing data operations as lazy PySpark DataFrame transformations."""
+"""Account, campaign and matching tables as lazy PySpark DataFrame transformations."""

@@ -38,6 +38,8 @@ def _averages(counts: DataFrame, output: str, cell: list[str]) -> DataFrame:
 
 def _wide(long: DataFrame, keys: list[str], cells: dict[str, dict[str, str]], value: str) -> DataFrame:
     """One column per cell: name -> {column: wanted value}."""
+    if not cells:
+        return long.select(*map(quoted, keys)).distinct()
     picked = []
     for name, wanted in cells.items():
         here = F.lit(True)
@@ -107,7 +109,7 @@ def _stage_table(
 ) -> DataFrame:
     here = counts.where(F.col("stage") == stage)
     table = _wide(here, groups, {v: {pivot_column: v} for v in values}, "n")
-    return table.na.fill(0, list(values))
+    return table.na.fill(0, list(values)) if values else table
 
 
 def channels_by_stage(
