@@ -12,8 +12,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # a key is hot when it holds at least 1/HOT_SHARE of a side, so at most HOT_SHARE keys are hot
 HOT_SHARE = 2_000
 GRID = 64
-# up to this many rows one key is no burden for a task
+# up to this many rows and pairs one key is no burden for a task
 KEY_ROWS = 100_000
+KEY_PAIRS = 10_000_000.0
 
 
 @dataclass(frozen=True)
@@ -22,25 +23,28 @@ class KeyLoad:
 
     pairs: float
     rows: float
-    largest: int
+    most_rows: int
+    most_pairs: float
 
     @property
     def skewed(self) -> bool:
-        return self.largest > KEY_ROWS
+        return self.most_rows > KEY_ROWS or self.most_pairs > KEY_PAIRS
 
 
 def key_load(left: DataFrame, right: DataFrame, on: Sequence[str]) -> KeyLoad:
-    """Joined pairs, rows, and rows of the largest key, from one aggregation of the keys alone."""
+    """Pairs and rows, in all and of the largest key, from one aggregation of the keys alone."""
     def marked(side: DataFrame, l: int, r: int) -> DataFrame:
         return side.dropna(subset=list(on)).select(*on, F.lit(l).alias("l"), F.lit(r).alias("r"))
 
     sizes = marked(left, 1, 0).union(marked(right, 0, 1)).groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    pairs, rows, largest = sizes.agg(
-        F.sum(F.col("l").cast("double") * F.col("r")),
+    joined = F.col("l").cast("double") * F.col("r")
+    pairs, rows, most_rows, most_pairs = sizes.agg(
+        F.sum(joined),
         F.sum((F.col("l") + F.col("r")).cast("double")),
         F.max(F.greatest("l", "r")),
+        F.max(joined),
     ).first()
-    return KeyLoad(pairs or 0.0, rows or 0.0, largest or 0)
+    return KeyLoad(pairs or 0.0, rows or 0.0, most_rows or 0, most_pairs or 0.0)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -93,9 +97,10 @@ def deal_sides(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides made ready for a many-to-many inner join, and the columns to join on.
 
-    Where no key has more than KEY_ROWS rows, which is measured unless the caller
-    knows, the sides stay as they are. Otherwise hot keys are cut into a grid of
-    salted cells. The rows of a hot key are dealt out by a hash of the row, so a
+    Where no key has more than KEY_ROWS rows or KEY_PAIRS pairs, which is measured
+    unless the caller knows, the sides stay as they are. Otherwise keys with a
+    1/HOT_SHARE of the rows of a side or of the pairs are cut into a grid of salted
+    cells; there can be no more than 3 * HOT_SHARE of them. The rows of a hot key are dealt out by a hash of the row, so a
     retried task deals them the same way. Rows of the other side are copied along
     the grid only for hot keys, and at most GRID times.
     """
@@ -106,13 +111,16 @@ def deal_sides(
         return left, right, on
     lefts, rights = key_counts(left, on, "__nl"), key_counts(right, on, "__nr")
     left_limit, right_limit = hot_limit(lefts, "__nl"), hot_limit(rights, "__nr")
+    nl, nr, np = F.col("__nl"), F.col("__nr"), F.col("__nl").cast("double") * F.col("__nr")
     both = lefts.join(rights, on)
-    hot = both.where((F.col("__nl") >= left_limit) | (F.col("__nr") >= right_limit))
+    pair_limit = both.agg(F.greatest(F.coalesce(F.sum(np) / F.lit(HOT_SHARE), F.lit(1.0)), F.lit(1.0)).alias("p")).scalar()
+    hot = both.where((nl >= left_limit) | (nr >= right_limit) | (np >= pair_limit))
+    edge = F.ceil(F.sqrt(np / pair_limit))
     hot = F.broadcast(
         hot.select(
             *on,
-            F.least(F.ceil(F.col("__nl") / left_limit), F.lit(GRID)).cast("int").alias("__wl"),
-            F.least(F.ceil(F.col("__nr") / right_limit), F.lit(GRID)).cast("int").alias("__wr"),
+            F.least(F.greatest(F.ceil(nl / left_limit), edge), nl, F.lit(GRID)).cast("int").alias("__wl"),
+            F.least(F.greatest(F.ceil(nr / right_limit), edge), nr, F.lit(GRID)).cast("int").alias("__wr"),
         )
     )
 

@@ -163,8 +163,13 @@ def _score(pairs: DataFrame, plan: LinkPlan, ids: Sequence[str]) -> DataFrame:
 
 
 def _narrow(side: DataFrame, own_id: str, tag: str, columns: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    """Id, extra columns and the compare columns under tagged names."""
-    values = [V.nan_to_null(quoted(c), V.data_type(side, c)).alias(tag + c) for c in dict.fromkeys(columns)]
+    """Id, extra columns and the compare columns under tagged names; -0.0 becomes 0.0."""
+    def value(c: str) -> Column:
+        kind = V.data_type(side, c)
+        number = V.nan_to_null(quoted(c), kind)
+        return number + F.lit(0.0).cast(kind) if V.is_fractional(kind) else number
+
+    values = [value(c).alias(tag + c) for c in dict.fromkeys(columns)]
     return side.select(quoted(own_id), *map(quoted, extra), *values)
 
 

@@ -101,8 +101,9 @@ def test_blocks_never_pair_missing_keys(spark):
     assert got == want
 
 
-def test_salted_grid_equals_plain_join(spark, monkeypatch):
-    monkeypatch.setattr(J, "HOT_SHARE", 5)
+@pytest.mark.parametrize("share", [1, 5, 40])
+def test_salted_grid_equals_plain_join(spark, monkeypatch, share):
+    monkeypatch.setattr(J, "HOT_SHARE", share)
     left = spark.range(300).selectExpr("id as l", "case when id % 3 = 0 then 0 else id % 40 end as k")
     right = spark.range(200).selectExpr("id as r", "case when id % 3 = 0 then 0 else id % 50 end as k")
     salted = J.pair_up(left, right, ["k"], skewed=True)
@@ -122,6 +123,23 @@ def test_large_dimension_is_joined_without_broadcast_of_the_whole(spark, monkeyp
     )
 
 
+def test_key_load(spark, monkeypatch):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    right = spark.createDataFrame([(1,), (1,), (1,), (3,)], "k int")
+    load = J.key_load(left, right, ["k"])
+    assert load == J.KeyLoad(6.0, 7.0, 3, 6.0) and not load.skewed
+    monkeypatch.setattr(J, "KEY_PAIRS", 5.0)
+    assert load.skewed
+
+
+def test_equal_numbers_of_either_sign_meet(spark):
+    left = spark.createDataFrame([(1, "b", 0.0)], "LId long, SF_Block string, SF_N double")
+    right = spark.createDataFrame([(2, "b", -0.0)], "RId long, ZI_Block string, ZI_N double")
+    plan = L.make_plan(left, right, {"index": {"block": {"SF_Block": ["ZI_Block"]}}, "compare": {"SF_N": ["ZI_N"]}})
+    for whole in (True, False):
+        assert rows(L.matching_pairs(left, right, "LId", "RId", plan, whole)) == [(1, 2, 1)]
+
+
 def test_size_check(spark, monkeypatch):
     assert J.fits_broadcast(spark.range(10))
     monkeypatch.setattr(J, "BROADCAST_ROWS", 5)
