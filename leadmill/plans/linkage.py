@@ -266,11 +266,12 @@ def _shared_tokens(lefts: DataFrame, rights: DataFrame, plan: LinkPlan, left_id:
 
     a = materialise(tokens(a, "l:", lambda f: f.left), "left-tokens")
     b = materialise(tokens(b, "r:", lambda f: f.right), "right-tokens")
-    met = pair_up(
+    by_left, by_right, keys = deal_sides(
         a.withColumn("__token", F.explode(quoted("l:t"))),
         b.withColumn("__token", F.explode(quoted("r:t"))),
         ["__block", "__token"],
     )
+    met = spread(by_left, keys).join(spread(by_right, keys), keys)
     # a pair that shares several tokens is scored under the least of them only
     once = F.col("__token") == F.array_min(F.array_intersect(quoted("l:t"), quoted("r:t")))
     scored = materialise(_score(met.where(once), plan, ["__lp", "__rp"]), "profile-pairs")
