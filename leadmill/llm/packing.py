@@ -14,39 +14,82 @@ those named in ``keep``.
 from __future__ import annotations
 
 import heapq
+import struct
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from leadmill.llm.common import Cache, runs_of, vocabulary, whole_text, worker_value
+from leadmill.llm.common import runs_of, vocabulary, whole_text, worker_value
 from leadmill.session import materialise
 
 WIDTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
+#: Fixed: how this vocabulary splits lower-cased text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Pieces of one length that one window group ranks.
-GROUP_ROWS = 1000
+GROUP_ROWS = 200
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
-def chunk_ids(path: str) -> Cache:
-    """Ids of white-space-free chunks as little-endian 32-bit bytes.
+def byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies show for each byte: itself where it prints, else the next from U+0100."""
+    printing = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printing]
+    return {b: b for b in printing} | {b: 256 + i for i, b in enumerate(rest)}
 
-    The vocabulary's normaliser and splitter never join across white space, so the
-    ids of a text are those of its chunks in order.
-    """
-    import numpy as np
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+def as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
 
-    def encode(chunks: list[bytes]) -> list[bytes]:
-        texts = [c.decode() for c in chunks]
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+class ChunkIds(dict):
+    """Ids of white-space-free chunks as little-endian 32-bit bytes, kept until there are too many.
+
+    The vocabulary's normaliser and splitter never join across white space, so the
+    ids of a text are those of its chunks in order. Chunks of plain Latin characters,
+    which Unicode normalisation leaves alone, are lower-cased and split here, one word
+    with a mark behind it at once, and the library merges their words; it gets all
+    other chunks whole.
+    """
 
-    return Cache(encode)
+    def __init__(self, path: str, most: int = 800_000):
+        import regex
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.most, self.words = most, {}
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.model = self.library.model
+        self.split = regex.compile(SPLIT).findall
+        self.plain = regex.compile(r"[\x21-\x7e\u00a1-\u024f]*").fullmatch
+        self.shown = byte_letters()
+
+    def of_word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= self.most:
+                self.words.clear()
+            letters = word.encode().decode("latin-1").translate(self.shown)
+            ids = self.words[word] = as_bytes([t.id for t in self.model.tokenize(letters)])
+        return ids
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        body, end = (text[:-1], text[-1]) if text[-1] in ".,!?;:" else (text, "")
+        low = body.lower()
+        if low.isalpha() and max(low) < "\u0250":
+            ids = self.of_word(low) + (self.of_word(end) if end else b"")
+        elif self.plain(text):
+            ids = b"".join(map(self.of_word, self.split(text.lower())))
+        else:
+            ids = as_bytes(self.library.encode(text, add_special_tokens=False).ids)
+        if len(self) >= self.most:
+            self.clear()
+        self[chunk] = ids
+        return ids
 
 
 def tokenize(docs: DataFrame, path: str | None = None, width: int = WIDTH, end_id: int = END_ID) -> DataFrame:
@@ -55,13 +98,12 @@ def tokenize(docs: DataFrame, path: str | None = None, width: int = WIDTH, end_i
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_value(("packing", path), lambda: chunk_ids(path))
+        cache = worker_value(("packing", path), lambda: ChunkIds(path))
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             for a, b in runs_of((len(t.as_buffer()) for t in texts), 4 << 20):
                 rows: list[tuple] = []
                 chunks = [text.split() for text in texts.slice(a, b - a).to_pylist()]
-                cache.learn(c for doc in chunks for c in doc)
                 for doc_id, doc in zip(doc_ids[a:b], chunks, strict=True):
                     ids = b"".join([*map(cache.__getitem__, doc), end])
                     total = len(ids) // 4
