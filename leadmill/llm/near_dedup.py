@@ -7,11 +7,10 @@ collection, so HALVES squared tables cost only 2 * HALVES * ROWS minhashes. Shor
 that occur once are dropped before any pair is formed.
 
 Within a bucket no pairs are listed. Members are first set against one member of the
-bucket; members still in another component then meet ever different members of the
-largest one. What is left in small components is set against the whole bucket, a
-bounded number at a time, until every pair of a bucket lies in one component or has
-been refused on the full sets. So a link is lost only where no table key agrees: at a
-similarity of 0.8 in about 2 pairs of 100,000 with the constants below.
+bucket. What then still lies in buckets with several components is joined exactly, on
+the rarest shingles of the sets (prefix and place bounds), so a link is lost only where
+no table key agrees: at a similarity of 0.8 in about 2 pairs of 100,000 with the
+constants below.
 
 Documents without words have an empty set and link with nothing; null text is empty.
 Documents with fewer words than a shingle are one shingle. Rows with the same doc_id
@@ -26,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leadmill.llm.common import LOWER_TABLE, Cache, runs_of, whole_text, worker_value
 from leadmill.session import materialise
@@ -34,9 +33,6 @@ from leadmill.session import materialise
 SHINGLE = 5
 SIMILAR_PERCENT = 80
 HALVES, ROWS = 16, 3
-RANDOM_ROUNDS = 2
-#: Pairs that one bucket gives in a round of the last phase, at least one member against all others.
-BUCKET_PAIRS = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SIGNATURES = "doc_id bigint, n_shingles bigint, digest binary, halves array<bigint>"
 SETS = "doc_id bigint, shingles array<bigint>"
@@ -147,13 +143,18 @@ def tensor_buckets(reps: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (id, hub) whose full sets are similar enough.
+
+    Hubs are few, so their sets are written apart: if they are small, Spark sends them
+    to the pairs and no set is shuffled with a pair.
+    """
     sized = sets.withColumn("n", F.size("shingles"))
-    met = pairs.join(sized.toDF("a", "sa", "na"), "a").join(sized.toDF("b", "sb", "nb"), "b").where(
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    hubs = materialise(sized.join(pairs.select("hub").distinct(), sized["id"] == F.col("hub"), "left_semi"), "hub_sets")
+    met = pairs.join(sized.toDF("id", "own", "n"), "id").join(hubs.toDF("hub", "other", "m"), "hub").where(
+        100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     )
-    both = F.size(F.array_intersect("sa", "sb"))
-    return met.where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b").distinct()
+    both = F.size(F.array_intersect("own", "other"))
+    return met.where(100 * both >= percent * (F.col("n") + F.col("m") - both)).select("id", "hub").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -182,48 +183,52 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
+def first_meetings(members: DataFrame) -> DataFrame:
+    """Each member with the smallest of its bucket."""
+    hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"))
+    return members.join(hubs, "bucket").where("id <> hub").select("id", "hub").distinct()
+
+
+def exact_meetings(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of different components that can be similar enough, by their rarest shingles.
+
+    Similar sets share one of their first shingles in order of rarity, and the places of
+    the first one they share bound what they can have in common.
+    """
+    own = members.select("id", "root").distinct().join(sets, "id").withColumn("n", F.size("shingles"))
+    tokens = own.select("id", "root", "n", F.explode("shingles").alias("shingle"))
+    often = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    in_order = F.sort_array(F.collect_list(F.struct("often", "shingle")))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    prefix = tokens.join(often, "shingle").groupBy("id", "root", "n").agg(in_order.alias("all")).select(
+        "id", "root", "n", F.posexplode(F.slice("all", F.lit(1), first.cast("int"))).alias("place", "t")
+    ).where("t.often > 1").select(F.col("t.shingle").alias("shingle"), "id", "root", "n", "place")
+    prefix = materialise(prefix, "prefixes")
+    other = prefix.toDF("shingle", "hub", "hub_root", "m", "hub_place")
+    most = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("hub_place"))
+    return prefix.join(other, "shingle").where(
+        (F.col("root") != F.col("hub_root")) & (F.col("id") < F.col("hub"))
+        & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        & ((100 + percent) * most >= percent * (F.col("n") + F.col("m")))
+    ).select("id", "hub").distinct()
+
+
 def link_buckets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, root) of the members of buckets, from verified links inside them."""
+    """(id, root) of the members of buckets, from verified links."""
     roots = buckets.select("id").distinct().withColumn("root", F.col("id"))
-    done = None
-    round_no = 0
-    while True:
+    for rest in (False, True):
         members = buckets.join(roots, "id")
-        active = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high")
-        members = materialise(members.join(active.select("bucket", "size"), "bucket"), "members")
-        if members.isEmpty():
-            return roots
-        last = round_no > RANDOM_ROUNDS
-        if round_no == 0:
-            hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.min("root").alias("hub_root"))
-            pairs = members.join(hubs, "bucket").where("root <> hub_root")
-        else:
-            mood = F.xxhash64("id", "bucket", F.lit(round_no))
-            parts = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("part"), F.min_by("id", mood).alias("hub"))
-            main = parts.groupBy("bucket").agg(F.max_by(F.struct(F.col("root").alias("hub_root"), "hub"), F.struct("part", -F.col("root"))).alias("m"))
-            outside = members.join(main.select("bucket", "m.*"), "bucket").where("root <> hub_root")
-            if not last:
-                pairs = outside
-            else:
-                hubs = outside.select("bucket", "id", "root", "size")
-                if done is not None:
-                    hubs = hubs.join(done, ["bucket", "id"], "left_anti")
-                turn = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-                hubs = hubs.withColumn("turn", turn).where(F.col("turn") <= F.greatest(F.floor(F.lit(BUCKET_PAIRS) / F.col("size")), F.lit(1)))
-                hubs = materialise(hubs.select("bucket", F.col("id").alias("hub"), F.col("root").alias("hub_root")), "hubs")
-                if hubs.isEmpty():
-                    return roots
-                told = hubs.select("bucket", F.col("hub").alias("id"))
-                done = told if done is None else materialise(done.union(told), "done")
-                pairs = members.join(hubs, "bucket").where("root <> hub_root")
-        pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        links = materialise(verified(pairs, sets, percent), "links")
-        if not links.isEmpty():
-            ends = links.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b")
-            joined = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
-            moved = joined.toDF("root", "new_root")
-            roots = materialise(roots.join(moved, "root", "left").select("id", F.coalesce("new_root", "root").alias("root")), "labels")
-        round_no += 1
+        active = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        members = materialise(members.join(active.select("bucket"), "bucket"), "members")
+        pairs = exact_meetings(members, sets, percent) if rest else first_meetings(members)
+        links = materialise(verified(materialise(pairs, "pairs"), sets, percent), "links")
+        ends = links.join(roots.toDF("id", "ra"), "id").join(roots.toDF("hub", "rb"), "hub")
+        joined = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+        moved = joined.toDF("root", "new_root")
+        roots = materialise(
+            roots.join(moved, "root", "left").select("id", F.coalesce("new_root", "root").alias("root")), "labels"
+        )
+    return roots
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
