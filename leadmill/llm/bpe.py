@@ -31,22 +31,27 @@ DUCKDB_MEMORY = "256MB"
 #: Bytes of words that one recursive query takes, and the longest word contracted one pair at a time.
 QUERY_BYTES, LONG = 400_000, 100
 
-#: One pair per word and step: a word of n bytes needs fewer than n steps.
+#: One pair per word and step: a word of n bytes needs fewer than n steps. Rows stay in the order
+#: of word and position, as DuckDB keeps the order of insertion on one thread, so neighbours are
+#: found without sorting.
 ENCODE = """
 WITH RECURSIVE step(word, pos, token, ended) AS (
     SELECT word, pos, token, false FROM start
     UNION ALL
-    SELECT word, pos, CASE WHEN pos = best % 1048576 THEN CAST(best // 1048576 AS INTEGER) ELSE token END, best IS NULL
+    SELECT word, pos, CASE WHEN place = best THEN CAST(best // 1048576 AS INTEGER) ELSE token END, best IS NULL
     FROM (
-        SELECT word, pos, token, min(place) OVER whole AS best, lag(place) OVER (PARTITION BY word ORDER BY pos) AS left_place
+        SELECT word, pos, token, place, best, lag(place = best) OVER () AS swallowed
         FROM (
-            SELECT word, pos, token, merged::BIGINT * 1048576 + pos AS place
-            FROM (
-                SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS next
-                FROM step WHERE NOT ended
-            ) LEFT JOIN merges ON a = token AND b = next
-        ) WINDOW whole AS (PARTITION BY word ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
-    ) WHERE left_place IS DISTINCT FROM best OR best IS NULL
+            WITH pairs AS (
+                SELECT word, pos, token, CASE WHEN next_word = word THEN merged::BIGINT * 1048576 + pos END AS place
+                FROM (
+                    SELECT word, pos, token, lead(token) OVER () AS next, lead(word) OVER () AS next_word
+                    FROM step WHERE NOT ended
+                ) LEFT JOIN merges ON a = token AND b = next
+            ), bests AS (SELECT word, min(place) AS best FROM pairs GROUP BY word)
+            SELECT word, pos, token, place, best FROM pairs JOIN bests USING (word)
+        )
+    ) WHERE swallowed IS NOT TRUE
 )
 SELECT word, token FROM step WHERE ended ORDER BY word, pos
 """
@@ -97,7 +102,7 @@ class DuckBpe:
         self.byte_token = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.loose = regex.compile(r"\s | \s|^ | $").search
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": True})
         pairs = [
             (ranks[token[:cut]], ranks[token[cut:]], rank)
             for token, rank in ranks.items()
@@ -110,8 +115,8 @@ class DuckBpe:
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
         self.known = len(ranks)
-        self.words = Cache(self.encode_words, 500_000, 1_000_000)
-        self.units = Cache(self.encode_units, 500_000, 50_000)
+        self.words = Cache(self.encode_words, 400_000, 1_000_000)
+        self.units = Cache(self.encode_units, 400_000, 50_000)
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids, as 32-bit bytes, of distinct non-empty words."""
