@@ -17,6 +17,32 @@ def data_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def to_moment(value: Column, formats: Sequence[str] = ()) -> Column:
+    """ISO text or a date as a zone-less timestamp, else by the first of ``formats`` that fits, else null."""
+    read = [F.try_to_timestamp(value.cast("string"), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(value.try_cast("timestamp_ntz"), *read)
+
+
+def holds_map(kind: T.DataType) -> bool:
+    """Whether a map is part of a type; maps cannot be hashed."""
+    if isinstance(kind, T.StructType):
+        return any(holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and holds_map(kind.elementType))
+
+
+WIDE = {T.ByteType: "bigint", T.ShortType: "bigint", T.IntegerType: "bigint", T.LongType: "bigint", T.FloatType: "double", T.DoubleType: "double"}
+
+
+def family(kind: T.DataType):
+    """Integers of any width are one family, fractions another; other types stand for themselves."""
+    return WIDE.get(type(kind), kind)
+
+
+def widened(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Integers and fractions in their widest type."""
+    return df.withColumns({n: quoted(n).cast(WIDE[type(data_type(df, n))]) for n in names if type(data_type(df, n)) in WIDE})
+
+
 def is_fractional(kind: T.DataType) -> bool:
     return isinstance(kind, (T.FloatType, T.DoubleType))
 

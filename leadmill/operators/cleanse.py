@@ -16,11 +16,11 @@ def clean_website_domain(df: DataFrame, url: str, website: str, domain: str) ->
 
 
 def word_list(df: DataFrame, column: str = fixed.WORD_LIST_COLUMN) -> list[str]:
-    """A small one-column dimension on the driver; one that is too long is refused."""
+    """A small one-column dimension on the driver, longer words first; one that is too long is refused."""
     rows = df.select(quoted(column).alias("w")).where("w is not null").limit(MOST_WORDS + 1).collect()
     if len(rows) > MOST_WORDS:
         raise ValueError(f"a word list holds at most {MOST_WORDS} words")
-    return [row.w for row in rows]
+    return sorted((row.w for row in rows), key=lambda w: (-len(w), w))
 
 
 class BusinessNameCleaner:

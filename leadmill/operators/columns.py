@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from leadmill import fixed_values as fixed
 from leadmill.functions import values as V
-from leadmill.functions.values import quoted
+from leadmill.functions.values import holds_map, quoted
 
 
 def filter_data(df: DataFrame, condition: Column | str) -> DataFrame:
@@ -37,8 +37,12 @@ def convert_column_types(
     float_cols: Sequence[str] = (),
     category_cols: Sequence[str] = (),
     datetime_cols: Sequence[str] = (),
+    formats: Sequence[str] = (),
 ) -> DataFrame:
-    """Lenient conversion: bad values become 0 (integers) or null; absent columns are skipped."""
+    """Lenient conversion: bad values become 0 (integers) or null; absent columns are skipped.
+
+    Dates are read as ISO text, then in the order of ``formats``.
+    """
     wanted: dict[str, Column] = {}
     for name in [*str_cols, *category_cols]:
         wanted[name] = quoted(name).cast("string")
@@ -49,7 +53,7 @@ def convert_column_types(
         if name in df.columns:
             wanted[name] = V.to_double(quoted(name), V.data_type(df, name))
     for name in datetime_cols:
-        wanted[name] = quoted(name).try_cast("timestamp_ntz")
+        wanted[name] = V.to_moment(quoted(name), formats)
     return df.withColumns({name: to for name, to in wanted.items() if name in df.columns})
 
 
@@ -131,8 +135,12 @@ def sort_data(df: DataFrame, columns: str | Sequence[str], ascending: bool = Tru
 def drop_duplicates(
     df: DataFrame, subset: Sequence[str] | None = None, order_by: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Keep one row per key: the first in ``order_by``, or any when there is no order."""
-    if order_by is None or subset is None:
-        return df.dropDuplicates(list(subset) if subset else None)
+    """Keep one row per key: the first in ``order_by``, by default the smallest in the remaining columns."""
+    if subset is None:
+        return df.dropDuplicates()
+    if order_by is None:
+        order_by = [quoted(f.name).asc_nulls_last() for f in df.schema if f.name not in subset and not holds_map(f.dataType)]
+    if not order_by:
+        return df.dropDuplicates(list(subset))
     place = F.row_number().over(Window.partitionBy(*map(quoted, subset)).orderBy(*order_by))
     return df.withColumn("__place", place).where("__place = 1").drop("__place")

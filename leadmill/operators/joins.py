@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
+
+from leadmill.functions.values import holds_map
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# a key is hot when it holds at least 1/HOT_SHARE of a side, so at most HOT_SHARE keys are hot
+# a dimension key is hot when it holds at least 1/HOT_SHARE of the facts, so at most HOT_SHARE keys are hot
 HOT_SHARE = 2_000
-GRID = 64
 # up to this many rows and pairs one key is no burden for a task
 KEY_ROWS = 100_000
 KEY_PAIRS = 10_000_000.0
@@ -98,11 +99,10 @@ def deal_sides(
     """Both sides made ready for a many-to-many inner join, and the columns to join on.
 
     Where no key has more than KEY_ROWS rows or KEY_PAIRS pairs, which is measured
-    unless the caller knows, the sides stay as they are. Otherwise keys with a
-    1/HOT_SHARE of the rows of a side or of the pairs are cut into a grid of salted
-    cells; there can be no more than 3 * HOT_SHARE of them. The rows of a hot key are dealt out by a hash of the row, so a
-    retried task deals them the same way. Rows of the other side are copied along
-    the grid only for hot keys, and at most GRID times.
+    unless the caller knows, the sides stay as they are. Otherwise each key beyond these
+    is cut into as many salted cells as keep a cell below them. The rows of a hot key
+    are dealt out by a hash of their plain columns, so a retried task deals them the
+    same way. Rows of the other side are copied along the grid only for hot keys.
     """
     on = list(on)
     if skewed is None:
@@ -110,22 +110,18 @@ def deal_sides(
     if not skewed:
         return left, right, on
     lefts, rights = key_counts(left, on, "__nl"), key_counts(right, on, "__nr")
-    left_limit, right_limit = hot_limit(lefts, "__nl"), hot_limit(rights, "__nr")
     nl, nr, np = F.col("__nl"), F.col("__nr"), F.col("__nl").cast("double") * F.col("__nr")
     both = lefts.join(rights, on)
-    pair_limit = both.agg(F.greatest(F.coalesce(F.sum(np) / F.lit(HOT_SHARE), F.lit(1.0)), F.lit(1.0)).alias("p")).scalar()
-    hot = both.where((nl >= left_limit) | (nr >= right_limit) | (np >= pair_limit))
-    edge = F.ceil(F.sqrt(np / pair_limit))
-    hot = F.broadcast(
-        hot.select(
-            *on,
-            F.least(F.greatest(F.ceil(nl / left_limit), edge), nl, F.lit(GRID)).cast("int").alias("__wl"),
-            F.least(F.greatest(F.ceil(nr / right_limit), edge), nr, F.lit(GRID)).cast("int").alias("__wr"),
-        )
+    hot = both.where((nl > KEY_ROWS) | (nr > KEY_ROWS) | (np > KEY_PAIRS))
+    edge = F.ceil(F.sqrt(np / KEY_PAIRS))
+    hot = hot.select(
+        *on,
+        F.least(F.greatest(F.ceil(nl / KEY_ROWS), edge), nl).cast("int").alias("__wl"),
+        F.least(F.greatest(F.ceil(nr / KEY_ROWS), edge), nr).cast("int").alias("__wr"),
     )
 
     def dealt(side: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
-        row = F.xxhash64(*[F.col(f"`{f.name}`") for f in side.schema if not isinstance(f.dataType, T.MapType)])
+        row = F.xxhash64(*[F.col(f"`{f.name}`") for f in side.schema if not holds_map(f.dataType)])
         ways = F.coalesce(F.col(other), F.lit(1))
         return (
             side.dropna(subset=on)

@@ -65,14 +65,17 @@ def calculate_split_amounts(
     return calculate_bins(df, [*shares, "TotalSplitAmount"], fixed.REVENUE_BIN_EDGES, short=True)
 
 
-def calculate_deal_velocity(df: DataFrame, stages: Sequence[str], convert: bool = False) -> DataFrame:
-    """Whole days between neighbouring stages, first to last and second to last."""
+def calculate_deal_velocity(df: DataFrame, stages: Sequence[str], convert: bool = False, formats: Sequence[str] = ()) -> DataFrame:
+    """Whole days between neighbouring stages, first to last and second to last.
+
+    ``convert`` reads text as ISO dates, then in the order of ``formats``.
+    """
     if len(stages) < 2:
         raise ValueError("deal velocity needs at least two stages")
     if convert:
         df = df.withColumns(
             {
-                s: quoted(s).try_cast("timestamp_ntz")
+                s: V.to_moment(quoted(s), formats)
                 for s in stages
                 if not isinstance(V.data_type(df, s), (T.TimestampType, T.TimestampNTZType))
             }

@@ -11,6 +11,7 @@ pair with a hit can be missed. Both ways give the same pairs.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -111,7 +112,7 @@ def make_plan(
     method: str = COSINE,
     keyed_by: str = "left",
 ) -> LinkPlan:
-    """Turn a rule table into a plan; columns of unequal types are not compared."""
+    """Turn a rule table into a plan; columns of unlike types are not compared, which a warning says."""
     lost_left, lost_right = missing_columns(left, right, rules, keyed_by)
     if lost_left or lost_right:
         raise ValueError(f"columns missing on the left: {lost_left}, on the right: {lost_right}")
@@ -123,11 +124,13 @@ def make_plan(
     for key, column in _column_pairs(rules.get("compare")):
         a, b = sides(key, column)
         kind = V.data_type(left, a)
-        if kind != V.data_type(right, b):
+        if V.family(kind) != V.family(V.data_type(right, b)):
             notes.append(f"{a} and {b} differ in type and are not compared")
             continue
         chosen = method if isinstance(kind, T.StringType) else EXACT
         features.append(Feature(a, b, f"{key.replace('SF_', 'Match_')}_{column}", chosen))
+    for note in notes:
+        warnings.warn(note, stacklevel=2)
     index = rules.get("index", {})
     return LinkPlan(
         tuple(sides(*p) for p in _column_pairs(index.get("block"))),
@@ -230,6 +233,13 @@ def _rarity(a: DataFrame, b: DataFrame, plan: LinkPlan) -> list[list[int]]:
     return tables
 
 
+LOSSLESS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _profiles(side: DataFrame, columns: Sequence[str], own_id: str, pid: str) -> tuple[DataFrame, DataFrame]:
     """(distinct rows of the columns with a digest as id, digest beside each record id).
 
@@ -237,7 +247,7 @@ def _profiles(side: DataFrame, columns: Sequence[str], own_id: str, pid: str) ->
     a hot record never travels more than once per task.
     """
     names = list(dict.fromkeys(columns))
-    digest = F.unhex(F.sha2(F.to_json(F.struct(*map(quoted, names))), 256))
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*map(quoted, names)), LOSSLESS), 256))
     marked = side.select(quoted(own_id), digest.alias(pid), *[quoted(c) for c in names if c != own_id])
     profiles = marked.dropDuplicates([pid])
     return profiles if own_id in names else profiles.drop(own_id), marked.select(pid, quoted(own_id))
@@ -296,6 +306,8 @@ def matching_pairs(
     """
     if left_id == right_id:
         raise ValueError("the two id columns need different names")
+    left = V.widened(left, [f.left for f in plan.features])
+    right = V.widened(right, [f.right for f in plan.features])
     if not plan.features or not (plan.blocks or plan.neighbours):
         raise ValueError("a linkage needs at least one index rule and one comparison")
     ids_left = [left_id, *[f.left for f in plan.features]]

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL_FOLDERS: dict[str, str] = {}
+CURRENT: ContextVar[str | None] = ContextVar("leadmill_scratch", default=None)
 
 
 def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession:
@@ -33,19 +38,30 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="leadmill-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="leadmill-"))
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside go to one folder, which is deleted at the end.
+
+    Write or collect the result before leaving: it may read those tables.
+    """
+    folder = f"{scratch_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = CURRENT.set(folder)
+    try:
+        yield folder
+    finally:
+        CURRENT.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{CURRENT.get() or scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -103,7 +103,8 @@ def test_blocks_never_pair_missing_keys(spark):
 
 @pytest.mark.parametrize("share", [1, 5, 40])
 def test_salted_grid_equals_plain_join(spark, monkeypatch, share):
-    monkeypatch.setattr(J, "HOT_SHARE", share)
+    monkeypatch.setattr(J, "KEY_ROWS", share)
+    monkeypatch.setattr(J, "KEY_PAIRS", float(share * share))
     left = spark.range(300).selectExpr("id as l", "case when id % 3 = 0 then 0 else id % 40 end as k")
     right = spark.range(200).selectExpr("id as r", "case when id % 3 = 0 then 0 else id % 50 end as k")
     salted = J.pair_up(left, right, ["k"], skewed=True)
@@ -123,6 +124,41 @@ def test_large_dimension_is_joined_without_broadcast_of_the_whole(spark, monkeyp
     )
 
 
+def test_cells_of_a_hot_key_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(J, "KEY_ROWS", 50)
+    monkeypatch.setattr(J, "KEY_PAIRS", 2500.0)
+    left = spark.range(2000).selectExpr("id as l", "case when id % 2 = 0 then 0 else id end as k")
+    right = spark.range(3000).selectExpr("id as r", "case when id % 2 = 0 then 0 else id end as k")
+    a, b, keys = J.deal_sides(left, right, ["k"], True)
+    for side in (a, b):
+        assert max(r["count"] for r in side.groupBy(*keys).count().collect()) < 150
+
+
+@pytest.mark.parametrize("method", [L.COSINE, L.JARO_WINKLER, L.DAMERAU])
+def test_tokens_equal_blocks_with_hot_tokens(spark, monkeypatch, method):
+    left, right = frames(spark)
+    plan = L.make_plan(left, right, RULES, method)
+    whole = rows(L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=True))
+    monkeypatch.setattr(J, "KEY_ROWS", 3)
+    monkeypatch.setattr(J, "KEY_PAIRS", 9.0)
+    assert rows(L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=False)) == whole
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(12,6)", "double", "int"])
+def test_profiles_keep_what_differs_little(spark, kind):
+    values = {"timestamp": ["2024-01-01 00:00:00.000001", "2024-01-01 00:00:00.000002"], "date": ["2024-01-01", "2024-01-02"]}
+    values["timestamp_ntz"] = values["timestamp"]
+    one, two = values.get(kind, ["1.000001", "1.000002"] if kind != "int" else ["1", "2"])
+    def side(name, wide):
+        df = spark.createDataFrame([(1, "b", one), (2, "b", two)], f"{name}Id long, {name}Block string, v string")
+        return df.select(f"{name}Id", f"{name}Block", F.col("v").cast(wide).alias(f"{name}V"))
+    left, right = side("L", kind), side("R", "bigint" if kind == "int" else kind)
+    plan = L.make_plan(left, right, {"index": {"block": {"LBlock": ["RBlock"]}}, "compare": {"LV": ["RV"]}})
+    for whole in (True, False):
+        got = L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=whole)
+        assert sorted((r.LId, r.RId) for r in got.collect()) == [(1, 1), (2, 2)]
+
+
 def test_key_load(spark, monkeypatch):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (1,), (3,)], "k int")

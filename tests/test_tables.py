@@ -197,3 +197,26 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     with pytest.raises(ValueError):
         tables.replace_table(df)
+
+
+def test_duplicates_do_not_depend_on_the_order_of_rows(spark):
+    df = spark.range(300).selectExpr("id % 7 as k", "cast(id * 31 % 17 as string) as v", "id as w")
+    kept = [rows(C.drop_duplicates(df.repartition(n, "w"), ["k"]), "v", "w") for n in (1, 3, 8)]
+    assert kept[0] == kept[1] == kept[2]
+
+
+def test_dates_in_given_formats(spark):
+    df = spark.createDataFrame([("2024-03-01",), ("03/02/2024",), ("4 Mar 2024",), ("no",)], "d string")
+    got = C.convert_column_types(df, datetime_cols=["d"], formats=["MM/dd/yyyy", "d MMM yyyy"]).collect()
+    assert [str(r.d)[:10] for r in got] == ["2024-03-01", "2024-03-02", "2024-03-04", "None"]
+
+
+def test_scratch_deletes_its_tables(spark):
+    import os
+
+    from leadmill.session import materialise, scratch
+
+    with scratch(spark) as folder:
+        assert materialise(spark.range(5), "five").count() == 5
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
