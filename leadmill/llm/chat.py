@@ -60,6 +60,8 @@ def unescape(texts: pa.Array) -> pa.Array:
 def joined(parts: list[pa.Array]) -> pa.Array:
     """Row-wise concatenation of string columns through one preallocated buffer."""
     rows = len(parts[0])
+    if not rows:
+        return pa.array([], pa.large_string())
     raw, starts, lengths = [], [], []
     for part in parts:
         part = pa.concat_arrays([part.cast(pa.large_binary())])
@@ -69,12 +71,12 @@ def joined(parts: list[pa.Array]) -> pa.Array:
         lengths.append(np.diff(offsets))
     ends = np.cumsum(np.column_stack(lengths).ravel())
     places = np.concatenate([[0], ends[:-1]]).reshape(rows, len(parts))
-    out = np.empty(int(ends[-1]) if rows else 0, np.uint8)
+    out = np.empty(int(ends[-1]), np.uint8)
     for k, (source, start, length) in enumerate(zip(raw, starts, lengths, strict=True)):
         total = int(length.sum())
         inside = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
         out[np.repeat(places[:, k], length) + inside] = source[np.repeat(start, length) + inside]
-    offsets = np.concatenate([[0], ends.reshape(rows, len(parts))[:, -1]]) if rows else np.zeros(1, np.int64)
+    offsets = np.concatenate([[0], ends.reshape(rows, len(parts))[:, -1]])
     return pa.Array.from_buffers(pa.large_string(), rows, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
 
 

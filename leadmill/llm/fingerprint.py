@@ -8,7 +8,7 @@ likeness of two fingerprints estimates the share of anchors that the texts have
 common, exactly so while they have no more than SKETCH.
 
 Everything runs on SQL functions. Null text is empty and has no anchors; texts of
-fewer than K words have one, all their words. Two empty fingerprints are alike (1).
+few words in which no window is an anchor have one, all their words. Two empty fingerprints are alike (1).
 Rows keep their columns, repeated rows included; an empty table gives an empty table.
 """
 
@@ -48,8 +48,15 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         stretch = F.transform(
             words, lambda w, i: F.xxhash64(*[F.get(words, i + j) for j in range(s)])
         )
-        places = F.when(n >= k, let(stretch, of_stretches)).when(n > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(words, i + 1, k)).alias("hash")))
+        whole = F.when(n > 0, F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(words).alias("hash")))).otherwise(
+            F.array().cast("array<struct<position:int,hash:bigint>>")
+        )
+
+        def named(places: Column) -> Column:
+            found = F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(words, i + 1, k)).alias("hash")))
+            return F.when(F.size(places) > 0, found).otherwise(whole)
+
+        return F.when(n >= k, let(let(stretch, of_stretches), named)).otherwise(whole)
 
     words = F.filter(F.split(text, SPACE, -1), lambda w: w != "")
     return let(F.transform(words, lambda w: F.xxhash64(w)), of_words)

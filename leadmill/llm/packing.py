@@ -136,7 +136,7 @@ def shortest_pack_first(histogram: dict[int, int], width: int = WIDTH) -> list[t
                 room.pop(-heapq.heappop(emptiest))
             space = -emptiest[0] if emptiest else 0
             if space < length:
-                space, copies, pattern = width, left, None
+                space, copies, pattern = width, -(-left // (width // length)), None  # as many as these pieces need
             else:
                 copies, pattern = room[space].pop()
             take = min(copies, left)
