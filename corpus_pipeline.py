@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from leadmill.llm import near_dedup, packing, quality, secret_scan
-from leadmill.session import materialise, scratch_path
+from leadmill.session import materialise, scratch, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "_"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):  # the stage's own tables go when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
