@@ -115,6 +115,7 @@ class DuckBpe:
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
         self.known = len(ranks)
+        self.decimal = np.array([str(i).encode() for i in range(self.known)], object)
         self.words = Cache(self.encode_words, 400_000, 1_000_000)
         self.units = Cache(self.encode_units, 400_000, 50_000)
 
@@ -215,7 +216,6 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", dig
         import hashlib
 
         bpe = duck_bpe(path)
-        decimal = worker_value(("decimal", path), lambda: np.array([str(i).encode() for i in range(bpe.known)], object))
         for batch in batches:
             for a, b in runs_of((len(t.as_buffer()) for t in batch.column(1)), RUN_BYTES):
                 ids = batch.column(1).slice(a, b - a).to_pylist()
@@ -223,7 +223,7 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", dig
                 if not digest:
                     yield pa.record_batch([keys, pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], names=[key, "ids", "bytes"])
                     continue
-                said = [hashlib.sha256(b",".join(decimal[np.frombuffer(i, "<u4")].tolist())).hexdigest() for i in ids]
+                said = [hashlib.sha256(b",".join(bpe.decimal[np.frombuffer(i, "<u4")].tolist())).hexdigest() for i in ids]
                 yield pa.record_batch(
                     [keys, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(said), pa.array([hashlib.sha256(t).hexdigest() for t in texts])],
                     names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -59,9 +59,13 @@ WORKER: dict = {}
 
 
 def worker_value(key: tuple, make: Callable):
-    """Something costly that one worker process makes once, such as a tokenizer with its cache."""
+    """Something costly that one worker process makes once, such as a tokenizer with its cache.
+
+    A worker holds one such value: the next operator's takes the place of the last one's.
+    """
     owner = (os.getpid(), key)
     if owner not in WORKER:
+        WORKER.clear()
         WORKER[owner] = make()
     return WORKER[owner]
 
