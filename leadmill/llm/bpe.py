@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,9 @@ from leadmill.llm.common import Cache, runs_of, vocabulary, whole_text, worker_v
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 RUN_BYTES = 2 << 20
+RUN_WORDS = 400_000
+#: Words whose ids a worker keeps.
+MOST_WORDS = 800_000
 DUCKDB_MEMORY = "256MB"
 #: Bytes of words that one recursive query takes, and the longest word contracted one pair at a time.
 QUERY_BYTES, LONG = 400_000, 100
@@ -80,8 +84,11 @@ WITH RECURSIVE step(word, pos, token, ended) AS (
 SELECT word, token FROM step WHERE ended ORDER BY word, pos
 """
 
+#: Sorting narrow rows once is cheaper than an order inside each aggregate; one thread takes them as sorted.
 DECODE = """
-SELECT row, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (token) GROUP BY row
+SELECT row, string_agg(hex, '') AS hex
+FROM (SELECT row, hex FROM tokens JOIN vocabulary USING (token) ORDER BY row, pos)
+GROUP BY row
 """
 
 
@@ -100,8 +107,7 @@ class DuckBpe:
 
         ranks = read_ranks(path)
         self.byte_token = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.loose = regex.compile(r"\s | \s|^ | $").search
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": True})
         pairs = [
             (ranks[token[:cut]], ranks[token[cut:]], rank)
@@ -116,11 +122,11 @@ class DuckBpe:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
         self.known = len(ranks)
         self.decimal = np.array([str(i).encode() for i in range(self.known)], object)
-        self.words = Cache(self.encode_words, 400_000, 1_000_000)
-        self.units = Cache(self.encode_units, 400_000, 50_000)
+        self.words = Cache(self.encode_words, MOST_WORDS, 100_000)
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
+    def encode_words(self, texts: list[str]) -> list[bytes]:
         """Ids, as 32-bit bytes, of distinct non-empty words."""
+        words = [t.encode() for t in texts]
         known: dict[bytes, bytes] = {}
         for query, some in ((ENCODE, [w for w in words if len(w) <= LONG]), (ENCODE_LONG, [w for w in words if len(w) > LONG])):
             for a, b in runs_of(map(len, some), QUERY_BYTES):
@@ -143,28 +149,21 @@ class DuckBpe:
         ends = np.cumsum(np.bincount(out["word"], minlength=len(words))) * 4
         return [tokens[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
-    def encode_units(self, units: list[str]) -> list[bytes]:
-        """Ids of stretches of text that the pattern splits as it would in the whole text."""
-        split = [[w.encode() for w in self.split(u)] for u in units]
-        self.words.learn(w for unit in split for w in unit)
-        return [b"".join(map(self.words.__getitem__, unit)) for unit in split]
-
-    def units_of(self, text: str) -> list[str]:
-        """Cut before each single blank between two words; there the pattern always ends a match.
-
-        Texts with other white space beside a blank are one stretch as a whole.
-        """
-        if self.loose(text):
-            return [text]
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
+    def ids_of(self, split: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are given as lists of words."""
+        self.words.learn(set().union(*split))
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Stretches of up to LONG characters are kept for later texts, longer ones are not."""
-        cut = [self.units_of(text) for text in texts]
-        self.units.learn(u for units in cut for u in units if len(u) <= LONG)
-        long = list({u for units in cut for u in units if len(u) > LONG})
-        rare = dict(zip(long, self.encode_units(long), strict=True))
-        return [b"".join([rare[u] if len(u) > LONG else self.units[u] for u in units]) for units in cut]
+        """Ids of each text. A text beyond RUN_BYTES is taken a run of words at a time."""
+        short = iter(self.ids_of([self.pattern.findall(t) for t in texts if len(t) <= RUN_BYTES]))
+        return [next(short) if len(t) <= RUN_BYTES else self.encode_long(t) for t in texts]
+
+    def encode_long(self, text: str) -> bytes:
+        matches, parts = self.pattern.finditer(text), []
+        while some := [m[0] for m in islice(matches, RUN_WORDS)]:
+            parts += self.ids_of([some])
+        return b"".join(parts)
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each list of ids by ordered aggregation."""
