@@ -36,8 +36,8 @@ def partitions(spark: SparkSession) -> int:
 class Cache(dict):
     """Values by chunk of text, computed for many unknown chunks at once.
 
-    A worker process keeps it from task to task. When it is full it starts anew,
-    so its memory is bounded; values never depend on what it holds.
+    A worker process keeps it from task to task. When it is full, only what the current
+    call wants stays, so its memory is bounded; values never depend on what it holds.
     """
 
     def __init__(self, compute: Callable[[list], Iterable], most: int = 400_000, at_once: int = 20_000):
@@ -48,8 +48,9 @@ class Cache(dict):
         wanted = set(chunks)
         new = list(wanted.difference(self))
         if len(self) + len(new) > self.most:
+            kept = {chunk: self[chunk] for chunk in wanted if chunk in self}
             self.clear()
-            new = list(wanted)
+            self.update(kept)
         for at in range(0, len(new), self.at_once):
             part = new[at : at + self.at_once]
             self.update(zip(part, self.compute(part), strict=True))
