@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadmill.catalog.registry import query, read, source, with_source
+from leadmill.catalog.registry import QUERIES, query, read, source, with_source
 from leadmill.operators import aggregate as A, pivot as P
+from leadmill.operators.median import exact_median
 
 # gaps, zeros, missing keys and one group without any value
 LINES = """
@@ -62,6 +63,12 @@ def a5(spark, folder):
     return A.group_data(source(spark, folder, LINES), KEYS, "price", "median", "price")
 
 
+@query("a5_group_median_large", QUERIES["a5_group_median"].sql)
+def a5_large(spark, folder):
+    lines = A.not_null(source(spark, folder, LINES), KEYS)
+    return A.round_numbers(exact_median(lines, KEYS, F.expr("nullif(price, 0)"), "price", large_rows=1000))
+
+
 @query(
     "a6_group_agg",
     grouped(

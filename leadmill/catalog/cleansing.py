@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadmill import fixed_values as fixed
-from leadmill.catalog.registry import duck, query, read, source, with_source
+from leadmill.catalog.registry import QUERIES, duck, query, read, source, with_source
 from leadmill.functions import text
 from leadmill.operators import cleanse, geo
 from leadmill.operators.joins import attach
@@ -340,12 +340,17 @@ def g10(spark, folder):
     "SELECT o_orderkey, n_name AS nation FROM orders LEFT JOIN customer ON c_custkey = o_custkey + 10 "
     "LEFT JOIN nation ON n_nationkey = c_nationkey",
 )
-def j6(spark, folder):
+def j6(spark, folder, small=None):
     named = source(
         spark, folder, "SELECT c_custkey AS key, n_name AS nation FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"
     )
     orders = source(spark, folder, "SELECT o_orderkey, o_custkey + 10 AS key FROM {orders}")
-    return attach(orders, named, ["key"]).select("o_orderkey", "nation")
+    return attach(orders, named, ["key"], small=small).select("o_orderkey", "nation")
+
+
+@query("j6_lookup_large", QUERIES["j6_dictionary_lookup"].sql)
+def j6_large(spark, folder):
+    return j6(spark, folder, small=False)
 
 
 @query(

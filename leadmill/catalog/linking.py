@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadmill import fixed_values as fixed
-from leadmill.catalog.registry import duck, query, source, with_source
+from leadmill.catalog.registry import QUERIES, duck, query, source, with_source
 from leadmill.functions import similarity as S
 from leadmill.operators import candidates as K
 from leadmill.plans import linkage as L
@@ -64,10 +64,15 @@ def c4(spark, folder):
 # --- candidate pairs
 
 @query("j4_blocking", "SELECT l_orderkey * 10 + l_linenumber AS line, o_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-def j4(spark, folder):
+def j4(spark, folder, key_rows=None):
     lines = source(spark, folder, "SELECT l_orderkey * 10 + l_linenumber AS line, l_orderkey AS lk FROM {lineitem}")
     orders = source(spark, folder, "SELECT o_orderkey, o_orderkey AS ok FROM {orders}")
-    return K.block_pairs(lines, orders, "line", "o_orderkey", "lk", "ok")
+    return K.block_pairs(lines, orders, "line", "o_orderkey", "lk", "ok", key_rows)
+
+
+@query("j4_blocking_skewed", QUERIES["j4_blocking"].sql)
+def j4_skewed(spark, folder):
+    return j4(spark, folder, key_rows=2)
 
 
 LEFT_NAMES = "SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE concat('key ', c_custkey * 7) END AS name FROM {customer}"
@@ -90,10 +95,14 @@ def neighbour_sql(left: str, right: str, lid: str, rid: str, a: str, b: str, tag
     + neighbour_sql("a", "b", "c_custkey", "s_suppkey", "a.name", "b.name", "near")
     + " SELECT l AS c_custkey, r AS s_suppkey FROM near",
 )
-def j5(spark, folder):
-    return K.neighbour_pairs(
-        source(spark, folder, LEFT_NAMES), source(spark, folder, RIGHT_NAMES), "c_custkey", "s_suppkey", "name", "name"
-    )
+def j5(spark, folder, key_rows=None):
+    left, right = source(spark, folder, LEFT_NAMES), source(spark, folder, RIGHT_NAMES)
+    return K.neighbour_pairs(left, right, "c_custkey", "s_suppkey", "name", "name", key_rows=key_rows)
+
+
+@query("j5_sorted_neighbourhood_skewed", QUERIES["j5_sorted_neighbourhood"].sql)
+def j5_skewed(spark, folder):
+    return j5(spark, folder, key_rows=1)
 
 
 # --- linkage
@@ -209,13 +218,18 @@ def filled(features) -> str:
     FROM lt LEFT JOIN matches ON l = lt.SF_Index LEFT JOIN rt ON rt.ZI_Index = r
     """,
 )
-def k1(spark, folder):
+def k1(spark, folder, whole_blocks=None):
     linked = L.link_records(
-        source(spark, folder, ACCOUNTS), source(spark, folder, ZI), "SF_Index", "ZI_Index", "ZoomInfo"
+        source(spark, folder, ACCOUNTS), source(spark, folder, ZI), "SF_Index", "ZI_Index", "ZoomInfo", whole_blocks=whole_blocks
     )
     return linked.select("SF_Index", "SF_AccountName", *labels_of(ZI_FEATURES), "Match_zScore", "ZI_Index", "ZI_AccountName")
 
 
+@query("k1_link_provider_tokens", QUERIES["k1_link_provider"].sql)
+def k1_tokens(spark, folder):
+    return k1(spark, folder, whole_blocks=False)
+
+
 @query(
     "k1_link_secondary",
     ZI_SQL + f"""
@@ -245,13 +259,18 @@ NAME_SQL = link_sql(
            r AS "INP_Index" FROM lt LEFT JOIN matches ON l = lt.SF_Index
     """,
 )
-def k1_names(spark, folder):
+def k1_names(spark, folder, whole_blocks=None):
     linked = L.link_records(
-        source(spark, folder, ACCOUNTS), source(spark, folder, INPUTS), "SF_Index", "INP_Index", "name"
+        source(spark, folder, ACCOUNTS), source(spark, folder, INPUTS), "SF_Index", "INP_Index", "name", whole_blocks=whole_blocks
     )
     return linked.select("SF_Index", *labels_of(NAME_FEATURES), "Match_zScore", "INP_Index")
 
 
+@query("k1_link_names_tokens", QUERIES["k1_link_names"].sql)
+def k1_names_tokens(spark, folder):
+    return k1_names(spark, folder, whole_blocks=False)
+
+
 # columns of unequal types are not compared, so the revenue pair below gives no feature
 CHOICE_RULES = {
     "index": {"block": {"SF_AccountId": ["ZI_AccountId"]}},
@@ -333,15 +352,20 @@ OLD_FEATURES = [
     FROM lt LEFT JOIN matches ON l = lt.INP_Index LEFT JOIN rt ON rt.SF_Index = r
     """,
 )
-def k5(spark, folder):
+def k5(spark, folder, whole_blocks=None):
     found = L.match_records(
-        source(spark, folder, INPUTS), source(spark, folder, ACCOUNTS), "INP_Index", "SF_Index", "name"
+        source(spark, folder, INPUTS), source(spark, folder, ACCOUNTS), "INP_Index", "SF_Index", "name", whole_blocks
     )
     return found.select(
         "INP_Index", "INP_Company", *labels_of(OLD_FEATURES), "Match_zScore", "SF_AccountId", "SF_AnnualRevenue"
     )
 
 
+@query("k5_old_matcher_tokens", QUERIES["k5_old_matcher"].sql)
+def k5_tokens(spark, folder):
+    return k5(spark, folder, whole_blocks=False)
+
+
 ADHOC = INPUTS.replace("INP_Company,", "INP_Company_0,").replace("INP_COMPANY_NAME", "INP_COMPANY")
 LOWER_ADHOC = f"SELECT INP_Index, lower(INP_COMPANY) AS INP_COMPANY, lower(INP_Outreach_Account_Natural_Name) AS INP_Outreach_Account_Natural_Name, lower(INP_STATE) AS INP_STATE, lower(INP_COUNTRY) AS INP_COUNTRY FROM ({duck(ADHOC)})"
 LOWER_ACCOUNTS = f"SELECT SF_AccountId, lower(SF_AccountName) AS SF_AccountName, lower(SF_CleanName) AS SF_CleanName, lower(SF_BillingState) AS SF_BillingState, lower(SF_BillingCountry) AS SF_BillingCountry FROM ({duck(ACCOUNTS)})"
@@ -357,9 +381,9 @@ FIELD_SQL = link_sql(
 ) + ', kept AS (SELECT * FROM matches WHERE "Match_AccountName" + "Match_CleanName" > 0)'
 
 
-def _fields(spark, folder):
+def _fields(spark, folder, whole_blocks=None):
     left, right = source(spark, folder, ADHOC), source(spark, folder, ACCOUNTS)
-    return left, right, L.potential_matches(left, right, "INP_Index", "SF_AccountId", L.field_mapping("adhoc"))
+    return left, right, L.potential_matches(left, right, "INP_Index", "SF_AccountId", L.field_mapping("adhoc"), whole_blocks)
 
 
 @query(
@@ -373,6 +397,11 @@ def k6(spark, folder):
     return _fields(spark, folder)[2]
 
 
+@query("k6_potential_matches_tokens", QUERIES["k6_potential_matches"].sql)
+def k6_tokens(spark, folder):
+    return _fields(spark, folder, whole_blocks=False)[2]
+
+
 # the oldest comparison takes the method by field: Jaro-Winkler for the clean name, Damerau-Levenshtein elsewhere
 @query(
     "k7_compare_strings",
@@ -401,14 +430,19 @@ def k7(spark, folder):
     FROM ({duck(ADHOC)}) o LEFT JOIN kept ON l = o.INP_Index LEFT JOIN ({duck(ACCOUNTS)}) s ON s.SF_AccountId = r
     """,
 )
-def k8(spark, folder):
+def k8(spark, folder, small=None):
     left, right, matches = _fields(spark, folder)
-    return L.format_matches(matches, left, right, "INP_Index", "SF_AccountId").select(
+    return L.format_matches(matches, left, right, "INP_Index", "SF_AccountId", small).select(
         "INP_Index", "INP_COMPANY", "INP_Outreach_Account_Natural_Name", "Match_Score", "SF_AccountId", "SF_AccountName",
         "SF_AnnualRevenue",
     )
 
 
+@query("k8_format_matches_large", QUERIES["k8_format_matches"].sql)
+def k8_large(spark, folder):
+    return k8(spark, folder, small=False)
+
+
 @query(
     "k9_field_presets",
     link_sql(

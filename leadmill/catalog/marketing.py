@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadmill import fixed_values as fixed
-from leadmill.catalog.registry import duck, query, source, with_source
+from leadmill.catalog.registry import QUERIES, duck, query, source, with_source
 from leadmill.functions import values as V
 from leadmill.operators import measures as M, touches as T
 from leadmill.plans import stage_reports as S
@@ -279,11 +279,18 @@ SELECT concat('O', o_orderkey) AS OPP_OpportunityId, concat('A', o_custkey) AS O
     WHERE CM_FirstRespondedDate BETWEEN OPP_AdustedCreatedDate AND OPP_CloseDate
     """,
 )
-def m2(spark, folder):
-    joined = T.members_with_opportunities(source(spark, folder, CM), source(spark, folder, OPP), within_opportunity=True)
+def m2(spark, folder, key_rows=None):
+    joined = T.members_with_opportunities(
+        source(spark, folder, CM), source(spark, folder, OPP), within_opportunity=True, key_rows=key_rows
+    )
     return joined.select("CM_MemberId", "OPP_OpportunityId")
 
 
+@query("m2_members_skewed", QUERIES["m2_members_with_opportunities"].sql)
+def m2_skewed(spark, folder):
+    return m2(spark, folder, key_rows=1)
+
+
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
 LONG = FLAGGED + ", long AS (" + " UNION ALL ".join(
     f"""SELECT '{s}' AS stage, OPP_OpportunityId AS opp, OPP_Region AS region, CM_JobLevel AS level, CM_CampaignChannels AS channel

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -74,14 +73,21 @@ def neighbour_keys(
 
 
 def block_pairs(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_on: str, right_on: str
+    left: DataFrame,
+    right: DataFrame,
+    left_id: str,
+    right_id: str,
+    left_on: str,
+    right_on: str,
+    key_rows: int | None = None,
 ) -> DataFrame:
-    """Id pairs whose block values are equal."""
+    """Id pairs whose block values are equal; ``key_rows`` as in ``deal_sides``."""
     ids = left.select(quoted(left_id), quoted(left_on).alias("__on")), right.select(
         quoted(right_id), quoted(right_on).alias("__on")
     )
     lefts, rights = block_keys(*ids, "__on", "__on")
-    return pair_up(lefts.drop("__on"), rights.drop("__on"), ["__block"]).select(quoted(left_id), quoted(right_id))
+    pairs = pair_up(lefts.drop("__on"), rights.drop("__on"), ["__block"], key_rows=key_rows)
+    return pairs.select(quoted(left_id), quoted(right_id))
 
 
 def neighbour_pairs(
@@ -92,8 +98,9 @@ def neighbour_pairs(
     left_on: str,
     right_on: str,
     window: int = WINDOW,
+    key_rows: int | None = None,
 ) -> DataFrame:
-    """Id pairs whose values are neighbours in sorted order."""
+    """Id pairs whose values are neighbours in sorted order; ``key_rows`` as in ``deal_sides``."""
     lefts, rights = neighbour_keys(
         left.select(quoted(left_id), quoted(left_on).alias("__on")),
         right.select(quoted(right_id), quoted(right_on).alias("__on")),
@@ -101,8 +108,5 @@ def neighbour_pairs(
         "__on",
         window,
     )
-    return pair_up(lefts.drop("__on"), rights.drop("__on"), ["__block"]).select(quoted(left_id), quoted(right_id))
-
-
-def union_of_pairs(pairs: Sequence[DataFrame]) -> DataFrame:
-    return pairs[0] if len(pairs) == 1 else reduce(DataFrame.unionByName, pairs).distinct()
+    pairs = pair_up(lefts.drop("__on"), rights.drop("__on"), ["__block"], key_rows=key_rows)
+    return pairs.select(quoted(left_id), quoted(right_id))

@@ -94,7 +94,7 @@ def attach(
 
 
 def deal_sides(
-    left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None
+    left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None, key_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides made ready for a many-to-many inner join, and the columns to join on.
 
@@ -103,21 +103,24 @@ def deal_sides(
     is cut into as many salted cells as keep a cell below them. The rows of a hot key
     are dealt out by a hash of their plain columns, so a retried task deals them the
     same way. Rows of the other side are copied along the grid only for hot keys.
+    ``key_rows`` states another bound, its square being that of the pairs; then nothing
+    is measured first.
     """
     on = list(on)
+    most_rows, most_pairs = (KEY_ROWS, KEY_PAIRS) if key_rows is None else (key_rows, float(key_rows) ** 2)
     if skewed is None:
-        skewed = key_load(left, right, on).skewed
+        skewed = key_rows is not None or key_load(left, right, on).skewed
     if not skewed:
         return left, right, on
     lefts, rights = key_counts(left, on, "__nl"), key_counts(right, on, "__nr")
     nl, nr, np = F.col("__nl"), F.col("__nr"), F.col("__nl").cast("double") * F.col("__nr")
     both = lefts.join(rights, on)
-    hot = both.where((nl > KEY_ROWS) | (nr > KEY_ROWS) | (np > KEY_PAIRS))
-    edge = F.ceil(F.sqrt(np / KEY_PAIRS))
+    hot = both.where((nl > most_rows) | (nr > most_rows) | (np > most_pairs))
+    edge = F.ceil(F.sqrt(np / most_pairs))
     hot = hot.select(
         *on,
-        F.least(F.greatest(F.ceil(nl / KEY_ROWS), edge), nl).cast("int").alias("__wl"),
-        F.least(F.greatest(F.ceil(nr / KEY_ROWS), edge), nr).cast("int").alias("__wr"),
+        F.least(F.greatest(F.ceil(nl / most_rows), edge), nl).cast("int").alias("__wl"),
+        F.least(F.greatest(F.ceil(nr / most_rows), edge), nr).cast("int").alias("__wr"),
     )
 
     def dealt(side: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
@@ -138,9 +141,11 @@ def deal_sides(
     )
 
 
-def pair_up(left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None) -> DataFrame:
+def pair_up(
+    left: DataFrame, right: DataFrame, on: Sequence[str], skewed: bool | None = None, key_rows: int | None = None
+) -> DataFrame:
     """Many-to-many inner join that holds with hot keys on either side."""
-    lefts, rights, keys = deal_sides(left, right, on, skewed)
+    lefts, rights, keys = deal_sides(left, right, on, skewed, key_rows)
     return lefts.join(rights, keys).drop("__cl", "__cr")
 
 

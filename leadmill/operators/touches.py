@@ -17,17 +17,19 @@ BUCKET_DAYS = 30
 
 
 def members_with_opportunities(
-    members: DataFrame, opportunities: DataFrame, within_opportunity: bool = False
+    members: DataFrame, opportunities: DataFrame, within_opportunity: bool = False, key_rows: int | None = None
 ) -> DataFrame:
     """Campaign members beside the opportunities of their account.
 
     ``within_opportunity`` keeps responses between opening and closing. Then both
     sides meet on account and time bucket, so an account with very many members
-    and opportunities pairs only rows of the same months.
+    and opportunities pairs only rows of the same months. ``key_rows`` as in ``deal_sides``.
     """
     account = F.col("CM_AccountId").alias("__account"), F.col("OPP_AccountId").alias("__account")
     if not within_opportunity:
-        pairs = pair_up(members.select("*", account[0]), opportunities.select("*", account[1]), ["__account"])
+        pairs = pair_up(
+            members.select("*", account[0]), opportunities.select("*", account[1]), ["__account"], key_rows=key_rows
+        )
         return pairs.drop("__account")
     answered, opened, closed = F.col(fixed.RESPONDED), F.col(fixed.OPENED), F.col(fixed.CLOSED)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -43,6 +45,7 @@ def members_with_opportunities(
         members.select("*", account[0], bucket(answered).alias("__bucket")),
         live.select("*", account[1], F.explode(F.sequence(first, last)).alias("__bucket")),
         ["__account", "__bucket"],
+        key_rows=key_rows,
     )
     return met.where(answered.between(opened, closed)).drop("__account", "__bucket")
 

@@ -365,20 +365,26 @@ def add_confidence(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
 # --- output
 
 def join_output(
-    leading: DataFrame, pairs: DataFrame, other: DataFrame, lead_id: str, other_id: str, suffixes: tuple[str, str]
+    leading: DataFrame,
+    pairs: DataFrame,
+    other: DataFrame,
+    lead_id: str,
+    other_id: str,
+    suffixes: tuple[str, str],
+    small: bool | None = None,
 ) -> DataFrame:
     """Every leading row with its matches and their other side; clashing names get suffixes.
 
     ``pairs`` should be stored: it is read twice. Matched and unmatched rows are
     joined apart, so that a leading row with very many matches stays on a side
-    that adaptive execution or the hot-key path can split.
+    that adaptive execution or the hot-key path can split. ``small`` as in ``attach``.
     """
     clash = [c for c in leading.columns if c in other.columns and c not in (lead_id, other_id)]
     lead = leading.withColumnsRenamed({c: c + suffixes[0] for c in clash})
     tail = other.withColumnsRenamed({c: c + suffixes[1] for c in clash})
     tail = tail if lead_id not in tail.columns else tail.withColumnRenamed(lead_id, lead_id + suffixes[1])
     lead = lead if other_id not in lead.columns else lead.withColumnRenamed(other_id, other_id + suffixes[0])
-    matched = attach(attach(pairs, lead, [lead_id], "inner"), tail, [other_id])
+    matched = attach(attach(pairs, lead, [lead_id], "inner", small), tail, [other_id], small=small)
     partners = pairs.select(quoted(lead_id)).distinct()
     alone = lead.join(partners, lead_id, "left_anti")
     features = [c for c in pairs.columns if c not in (lead_id, other_id)]
@@ -420,7 +426,12 @@ def link_records(
 
 
 def match_records(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, match_type: str | Mapping
+    left: DataFrame,
+    right: DataFrame,
+    left_id: str,
+    right_id: str,
+    match_type: str | Mapping,
+    whole_blocks: bool | None = None,
 ) -> DataFrame:
     """The older matcher: rules keyed by the right column, Jaro-Winkler on text.
 
@@ -429,7 +440,7 @@ def match_records(
     rules = link_rules(match_type, fixed.OLD_LINK_RULES)
     plan = make_plan(left, right, rules, JARO_WINKLER, keyed_by="right")
     pairs = materialise(
-        add_score(matching_pairs(left, right, left_id, right_id, plan), plan.labels), "pairs"
+        add_score(matching_pairs(left, right, left_id, right_id, plan, whole_blocks), plan.labels), "pairs"
     )
     joined = join_output(left, pairs, right, left_id, right_id, ("_df1", "_df2"))
     inputs = [left_id, *[c for c in joined.columns if c in left.columns and c != left_id]]
@@ -463,6 +474,7 @@ def potential_matches(
     left_id: str,
     right_id: str,
     fields: Mapping[str, str | Mapping[str, str]],
+    whole_blocks: bool | None = None,
 ) -> DataFrame:
     """Pairs with a hit in a feature that was indexed, all text compared in lower case."""
     fields = plain_mapping(fields)
@@ -480,14 +492,16 @@ def potential_matches(
         indexed.append("Match_CleanWebsite")
         blocks.append((fields["SF_CleanWebsite"], "SF_CleanWebsite"))
     plan = LinkPlan(tuple(blocks), tuple(neighbours), string_features(fields))
-    pairs = matching_pairs(lower_left, lower_right, left_id, right_id, plan)
+    pairs = matching_pairs(lower_left, lower_right, left_id, right_id, plan, whole_blocks)
     hit = reduce(lambda a, b: a + b, map(quoted, indexed))
     return add_score(pairs.where(hit > 0), plan.labels, "Match_Score")
 
 
-def format_matches(matches: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
+def format_matches(
+    matches: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str, small: bool | None = None
+) -> DataFrame:
     """Input columns, then match and account columns, under clean names with gaps filled."""
-    joined = join_output(left, materialise(matches, "pairs"), right, left_id, right_id, ("_x", "_y"))
+    joined = join_output(left, materialise(matches, "pairs"), right, left_id, right_id, ("_x", "_y"), small)
     joined = joined.toDF(*clean_column_names(joined.columns))
     inputs = clean_column_names([left_id, *[c for c in left.columns if c != left_id]])
     added = [c for c in joined.columns if c.startswith(("Match_", "SF_")) and c not in inputs]
