@@ -336,3 +336,13 @@ def test_bpe_on_awkward_texts():
     assert own.decode(ids) == [t.encode() for t in some]
     with pytest.raises(ValueError):
         own.decode([np.array([60_000], "<u4").tobytes()])
+
+
+def test_full_cache_keeps_what_is_wanted():
+    from leadmill.llm.common import Cache
+
+    asked = []
+    cache = Cache(lambda chunks: asked.extend(chunks) or [c * 2 for c in chunks], most=3)
+    cache.learn(["a", "b", "c"])
+    cache.learn(["b", "d"])
+    assert dict(cache) == {"b": "bb", "d": "dd"} and sorted(asked) == ["a", "b", "c", "d"]
