@@ -1,8 +1,8 @@
 """URL filters by association rules, below fixed host rules.
 
 A URL becomes a set of tokens: its scheme, the words of its host, the last three
-labels of it, the words of its path, its extension and the names of its parameters. FP-growth mines
-combinations of tokens from labelled URLs, with the label as one more token. A rule
+labels of it, the words of its path, an extension among them, and the names of its parameters. FP-growth mines
+combinations of tokens of any length from labelled URLs, with the label as one more token. A rule
 "tokens make a URL bad" stays when enough URLs support it, when it is right often
 enough, and when no shorter rule that it contains is as right. Rules match through an
 inverted index: a rule is filed under its rarest token, and a URL that has this token
@@ -35,7 +35,6 @@ MIN_SUPPORT = 0.002
 LEAST_URLS = 20
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 2.0
-MOST_TOKENS = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -80,7 +79,7 @@ def mine(labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float =
     support = min(1.0, max(support, LEAST_URLS / n)) if n else 1.0
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence, numPartitions=partitions(spark)).fit(items)
     rules = model.associationRules.where(
-        (F.array_contains("consequent", BAD)) & (F.size("antecedent") <= MOST_TOKENS) & (F.col("lift") >= lift)
+        (F.array_contains("consequent", BAD)) & (F.col("lift") >= lift)
     ).select(F.array_sort("antecedent").alias("tokens"), "support", "confidence", "lift")
     rules = materialise(rules, "rules")
     whole = rules.alias("r")

@@ -101,6 +101,16 @@ def test_learned_rules_equal_counting(spark):
     assert judged == [(1, "block"), (2, "allow"), (2, "allow")]
 
 
+def test_rules_of_more_than_four_tokens(spark):
+    """Only five tokens together make a URL bad; without any one of them it is good."""
+    bad = "http://x.example.com/a/b/c?d=1"
+    good = ["http://y.example.com/a/b/c?d=1", "http://x.example.com/b/c?d=1", "http://x.example.com/a/c?d=1", "http://x.example.com/a/b?d=1", "http://x.example.com/a/b/c"]
+    rows = [(bad, True)] * 60 + [(g, False) for g in good for _ in range(60)]
+    rules = url_filter.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    judged = url_filter.judge(spark.createDataFrame(list(enumerate([bad, *good])), "page_id bigint, url string"), rules)
+    assert {r.page_id: r.verdict for r in judged.collect()} == {0: "block"} | {i: "allow" for i in range(1, 6)}
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert {re.match(r"op\d+_", n)[0] for n in queries.QUERIES} == {f"op{i}_" for i in range(1, 11)}
