@@ -7,9 +7,12 @@ is asked without the bytes that the longer one had seen. Below the empty context
 remaining symbols are alike. The code length of a text is the sum over its bytes and
 its end.
 
-The model that tasks receive keeps byte strings with at least SHARE of all training
-symbols, at each length, so it has at most (ORDER + 1) / SHARE rows however large the
-corpus is. Counts themselves cover all training documents.
+Counts cover all training documents and no string is dropped. A table holds the chance
+of every string of ORDER + 1 bytes that occurs in any document; one that training has
+not seen is followed through the shorter contexts by joins. Tasks receive the chances
+of strings with at least SHARE of all symbols, at most 1 / SHARE of them, as a shortcut;
+all other strings of a run of documents meet the table by a join. SHARE changes the work, not
+the scores.
 
 Beside it a word unigram is scored: word counts of the training documents meet the
 postings of all documents by a join on the word, one row per word and run of documents,
@@ -64,26 +67,33 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[real], np.cumsum(sizes) - sizes
 
 
-def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return keys, *(np.bincount(at, np.concatenate([p[i] for p in parts])).astype(np.int64) for i in (1, 2))
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(gram, n) over all given documents; tasks sum up before the shuffle."""
+def count_grams(docs: DataFrame, held: Column | None = None) -> DataFrame:
+    """(gram, n, met) over all given documents; tasks sum up before the shuffle.
+
+    ``met`` counts all documents and ``n`` those that are not ``held``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
 
         def out():
-            keys, n = merged(parts)
-            return pa.record_batch([pa.array(keys), pa.array(n)], names=["gram", "n"])
+            return pa.record_batch([pa.array(c) for c in merged(parts)], names=["gram", "n", "met"])
 
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary())
+            texts, kept = batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()
             for a, b in runs_of((len(t.as_buffer()) for t in texts), RUN_BYTES):
-                parts.append(np.unique(grams(texts.slice(a, b - a).to_pylist())[0], return_counts=True))
-                if sum(len(k) for k, _ in parts) > MOST_GRAMS:
+                some = texts.slice(a, b - a).to_pylist()
+                for held_out in (False, True):
+                    chosen = [t for t, k in zip(some, kept[a:b], strict=True) if k == held_out]
+                    if chosen:
+                        keys, met = np.unique(grams(chosen)[0], return_counts=True)
+                        parts.append((keys, np.zeros_like(met) if held_out else met, met))
+                if sum(len(p[0]) for p in parts) > MOST_GRAMS:
                     parts = [merged(parts)]
                     if len(parts[0][0]) > MOST_GRAMS // 2:
                         yield out()
@@ -91,8 +101,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
         if parts:
             yield out()
 
-    counted = docs.select(whole_text().alias("text")).mapInArrow(run, "gram bigint, n bigint")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
+    marked = docs.select(whole_text().alias("text"), (F.lit(False) if held is None else held).alias("held"))
+    counted = marked.mapInArrow(run, "gram bigint, n bigint, met bigint")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("met").alias("met"))
 
 
 @dataclass
@@ -108,7 +119,7 @@ class Level:
 
 
 class Model:
-    """A pruned trie as sorted arrays, one level per context length."""
+    """A trie in one process's memory as sorted arrays, one level per context length."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
         self.levels: list[Level] = []
@@ -150,7 +161,7 @@ class Model:
 
 
 def train(docs: DataFrame, share: float = SHARE) -> Model:
-    """The pruned model of the given documents."""
+    """A model of the given documents in memory, whole with a share of 0, else pruned; ``score`` does without it."""
     full = materialise(count_grams(docs), "grams")
     total = full.agg(F.sum("n")).first()[0] or 0
     lengths = F.explode(F.array(*[
@@ -162,12 +173,60 @@ def train(docs: DataFrame, share: float = SHARE) -> Model:
     return Model([(gram[length == i], n[length == i]) for i in range(ORDER + 1)])
 
 
+def low(gram: Column, length: int) -> Column:
+    """The last byte of a string with the ``length`` bytes before it."""
+    return gram.bitwiseAND((1 << 8 * (length + 1)) - 1)
+
+
+def context_of(gram: Column) -> Column:
+    return F.shiftright(gram, 8)
+
+
+def chances(full: DataFrame) -> DataFrame:
+    """(gram, met, p): log probability of each string's last symbol after the others, from stored (gram, n, met)."""
+    counts = [full.where("n > 0").select("gram", "n")]
+    for length in reversed(range(ORDER)):
+        shorter = counts[0].groupBy(low(F.col("gram"), length).alias("gram")).agg(F.sum("n").alias("n"))
+        counts.insert(0, materialise(shorter, f"strings{length}"))
+    contexts = []
+    for length, level in enumerate(counts):
+        below = F.lit(0).cast("bigint")
+        if length:
+            level = level.join(counts[length - 1].select(F.col("gram").alias("short"), F.col("n").alias("below")), low(F.col("gram"), length - 1) == F.col("short"))
+            below = F.col("below")
+        sums = level.groupBy(context_of(F.col("gram")).alias("context")).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum(below).alias("shadow")
+        )
+        contexts.append(materialise(sums, f"contexts{length}"))
+    seen = full.where("n > 0").withColumn("context", context_of(F.col("gram"))).join(contexts[ORDER], "context").select(
+        "gram", "met", F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("p")
+    )
+    none = F.lit(0).cast("bigint")
+    walk = full.where("n = 0").select("gram", "met", F.lit(0.0).alias("p"), F.lit(False).alias("done"), none.alias("hidden_n"), none.alias("hidden_kinds"))
+    for length in reversed(range(ORDER + 1)):
+        there = contexts[length]
+        walk = walk.withColumn("context", context_of(low(F.col("gram"), length))).join(there, "context", "left").drop("context")
+        hits = counts[length].select(F.col("gram").alias("short"), F.col("n").alias("hit"))
+        walk = walk.withColumn("short", low(F.col("gram"), length)).join(hits, "short", "left").drop("short")
+        total, kinds = F.col("total") - F.col("hidden_n"), F.col("kinds") - F.col("hidden_kinds")
+        asked = ~F.col("done") & F.coalesce(total > 0, F.lit(False))
+        walk = walk.select(
+            "gram", "met",
+            F.when(asked, F.col("p") + F.log10(F.coalesce("hit", kinds) / (total + kinds))).otherwise(F.col("p")).alias("p"),
+            (F.col("done") | (asked & F.col("hit").isNotNull())).alias("done"),
+            F.coalesce("shadow", "hidden_n").alias("hidden_n"),
+            F.when(F.col("total").isNotNull(), F.col("kinds")).otherwise(F.col("hidden_kinds")).alias("hidden_kinds"),
+        )
+    rest = F.log10(F.greatest(SYMBOLS - F.col("hidden_kinds"), F.lit(1)).cast("double"))
+    return seen.unionByName(walk.select("gram", "met", F.when(F.col("done"), F.col("p")).otherwise(F.col("p") - rest).alias("p")))
+
+
 SCORED = (
     "row bigint, doc_id bigint, held_out boolean, n_words bigint, score double, "
-    "word string, seen bigint, base bigint, places array<int>, times array<int>"
+    "word string, seen bigint, gram bigint, base bigint, places array<int>, times array<int>"
 )
-EMPTY = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_words": pa.int64(), "score": pa.float64(),
-         "word": pa.string(), "seen": pa.int64(), "base": pa.int64(), "places": pa.list_(pa.int32()), "times": pa.list_(pa.int32())}
+EMPTY = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_words": pa.int64(), "score": pa.float64(), "word": pa.string(),
+         "seen": pa.int64(), "gram": pa.int64(), "base": pa.int64(), "places": pa.list_(pa.int32()), "times": pa.list_(pa.int32())}
 
 
 def filled(**columns: pa.Array) -> pa.RecordBatch:
@@ -175,15 +234,26 @@ def filled(**columns: pa.Array) -> pa.RecordBatch:
     return pa.record_batch([columns.get(n, pa.nulls(rows, k)) for n, k in EMPTY.items()], names=list(EMPTY))
 
 
-def score_and_index(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of two sorts: a document's score under its row number, and the postings of a word in a run of documents.
+def postings_of(code: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, places and times of the distinct pairs, in order of the codes."""
+    pairs, times = np.unique((code << 32) | place, return_counts=True)
+    return pairs >> 32, pairs & 0xFFFFFFFF, times
 
-    Row numbers hold once the result is written.
+
+def ends_of(code: np.ndarray) -> np.ndarray:
+    return np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code)).astype(np.int32)
+
+
+def score_and_index(docs: DataFrame, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Rows of three sorts: a document's score by the known strings under its row number, and
+    the postings of a word and of a string that is not known in a run of documents.
+
+    ``known`` are sorted strings and their chances. Row numbers hold once the result is written.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        strings, chance = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column(2).cast(pa.binary())
@@ -193,7 +263,21 @@ def score_and_index(docs: DataFrame, model: Model) -> DataFrame:
                 for c, d in runs_of(map(len, some), RUN_BYTES):
                     keys, starts = grams(some[c:d])
                     distinct, at = np.unique(keys, return_inverse=True)
-                    scores.append(np.add.reduceat(model.log10(distinct)[at], starts))
+                    p, found = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+                    if len(strings):
+                        spot = np.minimum(np.searchsorted(strings, distinct), len(strings) - 1)
+                        found = strings[spot] == distinct
+                        p[found] = chance[spot[found]]
+                    scores.append(np.add.reduceat(p[at], starts))
+                    if not found.all():
+                        left = np.flatnonzero(~found[at])
+                        code, place, times = postings_of(at[left], np.searchsorted(starts, left, "right") - 1)
+                        ends = ends_of(code)
+                        yield filled(
+                            gram=pa.array(distinct[code[ends[:-1]]]), base=pa.array(np.full(len(ends) - 1, row + c)),
+                            places=pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                            times=pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                        )
                 split = [text.translate(LOWER_TABLE).split() for text in some]
                 sizes = np.fromiter(map(len, split), np.int64, len(split))
                 yield filled(
@@ -202,9 +286,8 @@ def score_and_index(docs: DataFrame, model: Model) -> DataFrame:
                 )
                 numbers: dict[bytes, int] = {}
                 code = np.array([numbers.setdefault(w, len(numbers)) for words in split for w in words], np.int64)
-                pairs, times = np.unique((code << 32) | np.repeat(np.arange(len(split)), sizes), return_counts=True)
-                word, place = pairs >> 32, pairs & 0xFFFFFFFF
-                ends = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)).astype(np.int32)
+                word, place, times = postings_of(code, np.repeat(np.arange(len(split)), sizes))
+                ends = ends_of(word)
                 trained = np.where(held.to_numpy(zero_copy_only=False)[place], 0, times) if len(place) else times
                 yield filled(
                     word=pa.array([w.decode() for w in numbers], pa.string()),
@@ -221,8 +304,13 @@ def score_and_index(docs: DataFrame, model: Model) -> DataFrame:
 def score(docs: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``."""
     marked = docs.withColumn("held_out", held_out())
-    done = materialise(score_and_index(marked, train(marked.where("not held_out"), share)), "scores")
+    table = materialise(chances(materialise(count_grams(marked, F.col("held_out")), "grams")), "chances")
+    symbols = table.agg(F.sum("met")).first()[0] or 0
+    often = F.col("met") >= share * symbols
+    rows = table.where(often).select("gram", "p").orderBy("gram").toArrow()  # at most 1 / share rows
+    done = materialise(score_and_index(marked, tuple(rows.column(i).to_numpy() for i in range(2))), "scores")
     texts = done.where("row is not null").select("row", "doc_id", "held_out", "n_words", "score")
+    rare = done.where("gram is not null").select("gram", "base", "places", "times")
     postings = done.where("word is not null").select("word", "seen", "base", "places", "times")
     counts = materialise(postings.groupBy("word").agg(F.sum("seen").alias("c")), "words")
     ends = texts.agg(F.count_if(~F.col("held_out"))).first()[0] or 0
@@ -233,15 +321,16 @@ def score(docs: DataFrame, share: float = SHARE) -> DataFrame:
     def weight(c: Column) -> Column:
         return F.log10((c + SMOOTHING) / F.lit(whole))
 
-    met = postings.drop("seen").join(counts, "word").select(
-        "base", "c", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("times").alias("n")))
-    )
+    each = F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("times").alias("n")))
+    met = postings.drop("seen").join(counts, "word").select("base", "c", F.lit(None).cast("double").alias("p"), each)
+    met = met.unionByName(rare.join(table.where(~often), "gram").select("base", F.lit(None).cast("bigint").alias("c"), "p", each))
     summed = met.groupBy((F.col("base") + F.col("place")).alias("row")).agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * weight(F.col("c"))).alias("sum")
+        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * weight(F.col("c"))).alias("sum"),
+        F.sum(F.col("n") * F.col("p")).alias("rare"),
     )
     return texts.join(summed, "row", "left").select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"),
         (F.coalesce("known", F.lit(0)) + int(ends > 0)).cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.coalesce("sum", F.lit(0.0)) + weight(F.lit(ends))).alias("base_score"), "score",
+        (F.coalesce("sum", F.lit(0.0)) + weight(F.lit(ends))).alias("base_score"), (F.col("score") + F.coalesce("rare", F.lit(0.0))).alias("score"),
     )

@@ -177,6 +177,24 @@ def test_scores_equal_a_plain_trie(spark):
         assert 10 ** model.log10(keys) == pytest.approx(np.array(want))
 
 
+def test_registered_scores_drop_no_string(spark):
+    """At the registered share, strings too rare for the broadcast count as in the whole trie."""
+    draw = random.Random(13)
+    common = [" ".join(draw.choice(["the", "and", "ring", "stone"]) for _ in range(24_000)) for _ in range(40)]
+    rare = [" ".join("".join(draw.choice("qxzjkvwy") for _ in range(6)) for _ in range(40)) for _ in range(60)]
+    rows = list(enumerate(common + rare + ["", "日本 qxz the", "\x01\x02"]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    symbols = sum(len(t.encode()) + 1 for _, t in rows)
+    assert lm_score.SHARE * symbols > 1  # so that strings seen once are not in the broadcast
+    whole = lm_score.train(docs.where(~lm_score.held_out()), share=0)
+    got = {r.doc_id: r.score for r in lm_score.score(docs).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(whole.log10(lm_score.grams([t.encode()])[0]).sum(), rel=1e-9)
+    few = docs.where("doc_id >= 40")
+    for r, other in zip(*(lm_score.score(few, share).orderBy("doc_id").collect() for share in (0, 2.0)), strict=True):
+        assert r.score == pytest.approx(other.score)
+
+
 BASE = [
     ("assign", re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[1]) >= 8),
     ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
