@@ -16,7 +16,8 @@ from leadmill.session import materialise, scratch, scratch_path
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole = docs.select(F.struct("*").alias("row"), "lang", "text")
     measured = materialise(quality.measure(whole, keep=("row", "lang")), "measured")
-    return quality.judge(measured).where("kept").select("row.*")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.judge(measured, labels=labels, key=F.col("row.doc_id")).where("kept").select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

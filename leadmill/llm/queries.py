@@ -68,9 +68,9 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality(table(spark, folder, "documents")).select(
+    return quality.quality(table(spark, folder, "documents"), labels=table(spark, folder, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "lang", "chars_per_token", "byte_share", "entropy_ratio",
+        "lang", "chars_per_token", "byte_share", "bare_share", "entropy_ratio",
     )
 
 

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from leadmill.llm import bpe, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding
 from leadmill.llm.common import LOWER_TABLE, table
@@ -276,6 +277,17 @@ def test_quality_rejects_texts_that_the_vocabulary_cannot_cope_with(spark):
     assert [r.doc_id for r in got if not r.kept and not r.base_failed] == [900]
 
 
+def test_quality_rejects_labelled_junk_and_keeps_good(spark):
+    """The registered rules on sf0.1, in every language, beside its labels."""
+    folder = "/root/testdata/sf0.1"
+    labels = table(spark, folder, "labels")
+    judged = quality.quality(table(spark, folder, "documents"), labels=labels).where("not base_failed").join(labels, "doc_id")
+    counts = {(r.lang, r.quality): (r.n, r.kept) for r in judged.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()}
+    print(counts)
+    for lang in ("de", "en", "es", "fr"):
+        assert counts[lang, 0][1] <= 0.05 * counts[lang, 0][0] and counts[lang, 1][1] >= 0.98 * counts[lang, 1][0]
+
+
 def linked_by_hand(rows, k):
     sets = {}
     for i, t, *_ in rows:
