@@ -3,8 +3,10 @@
 Two character Markov models, one of random strings and one of ordinary identifiers,
 are trained from labelled samples: in a bounded sample of documents, what the fixed
 patterns find is labelled random, and longer words that they leave alone are labelled
-ordinary. A long string of letters and digits is a secret when the log-likelihood
-ratio per character exceeds a threshold.
+ordinary. A string of 20 characters or more of the alphabet is a secret when the
+log-likelihood ratio per character exceeds a threshold, whatever characters it has and
+also where it holds a base span; only one that lies inside a base span adds nothing.
+A doubled character that neither sample has says nothing.
 
 Everything runs on SQL functions. Spans are code points, the end exclusive. Null text
 is empty and has no spans; long texts are scanned whole. Rows keep all their columns;
@@ -30,7 +32,6 @@ LEAST_VALUE = 8
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-MIXED = r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]"
 ORDINARY = r"[A-Za-z_][A-Za-z0-9_-]{7,}"
 #: Documents, those with the smallest hashes of their ids, that the models are trained on.
 SAMPLE_DOCUMENTS = 20_000
@@ -100,7 +101,9 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> list[float]:
             row = [seen.get(a + b, 0) + SMOOTHING for b in ALPHABET]
             tables += [math.log(x / sum(row)) for x in row]
     half = size * size
-    return [round(r - w, 5) for r, w in zip(tables[:half], tables[half:], strict=True)]
+    met = {row.pair for row in counts}
+    pairs = [a != b or a + b in met for a in ALPHABET for b in ALPHABET]
+    return [round(r - w, 5) if m else 0.0 for r, w, m in zip(tables[:half], tables[half:], pairs, strict=True)]
 
 
 def ratio(value: Column, model: list[float]) -> Column:
@@ -126,8 +129,8 @@ def scan(docs: DataFrame, model: list[float] | None = None, threshold: float = T
     based = docs.withColumn("base_spans", base_spans(text))
 
     def random(s: Column) -> Column:
-        apart = ~F.exists("base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return s["value"].rlike(MIXED) & apart & (ratio(s["value"], model) > threshold)
+        inside = F.exists("base_spans", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
+        return ~inside & (ratio(s["value"], model) > threshold)
 
     added = F.filter(found(text, CANDIDATE, "random"), random)
     return based.withColumn("spans", F.array_sort(F.concat("base_spans", added)))

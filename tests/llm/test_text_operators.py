@@ -222,9 +222,23 @@ def test_secret_spans(spark, docs, rows, none):
     assert secret_scan.redact(secret_scan.scan(none)).count() == 0
 
 
-def test_fingerprints(spark, docs, rows, none):
-    from pyspark.sql import functions as F
+def test_secret_keys_of_letters_and_around_base_spans(spark):
+    draw = random.Random(17)
+    letters, every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", secret_scan.ALPHABET[:62]
+    keys = ["".join(draw.choice(letters) for _ in range(32)) for _ in range(60)]
+    around = ["".join(draw.choice(every) for _ in range(14)) for _ in range(40)]
+    keys += [f"{a}{'%032x' % draw.getrandbits(128)}{a[::-1]}" for a in around[:20]] + [f"{a}xAKIA{a.upper()}_{a}" for a in around[20:]]
+    plain = ["Donaudampfschifffahrtsgesellschaft", "-" * 40, "=" * 30, "internationalization_of_the_configuration"]
+    rows = [(i, f"see {t} there") for i, t in enumerate(keys + plain)]
+    model = secret_scan.train(table(spark, "/root/testdata/sf0.1", "documents"))
+    got = {r.doc_id: r.text for r in secret_scan.redact(secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model)).collect()}
+    clean = [got[i] == "see [SECRET] there" for i in range(len(keys))]
+    print(sum(clean[:60]), sum(clean[60:80]), sum(clean[80:]))
+    assert sum(clean[:60]) >= 57 and sum(clean[60:]) >= 38
+    assert all(got[len(keys) + i] == f"see {t} there" for i, t in enumerate(plain))
+
 
+def test_fingerprints(spark, docs, rows, none):
     done = fingerprint.edited(docs)
     named = done.withColumn("again", fingerprint.sketch(F.col("edited"))).withColumn("near", fingerprint.likeness(F.col("sketch"), F.col("again")))
     got = {r.doc_id: r for r in named.withColumn("found", fingerprint.anchors(F.col("text"))).collect()}
