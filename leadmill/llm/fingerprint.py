@@ -3,9 +3,11 @@
 A window of K words is an anchor when the smallest of its inner stretches of S words
 lies at its start or its end. That depends on the window alone, so equal passages have
 equal anchors wherever they stand, and anchors with their positions align two texts.
-The fingerprint is the SKETCH smallest distinct anchor hashes of the whole text; the
-likeness of two fingerprints estimates the share of anchors that the texts have in
-common, exactly so while they have no more than SKETCH.
+Two texts are compared by all their anchors: those that match fall into runs in which
+both texts go on from anchor to anchor, and the heaviest chain of runs that stand in the
+same order in both counts as common. A hash that repeats is matched first to first and so
+on. The fingerprint, a column beside it, is the SKETCH smallest distinct anchor hashes
+of the whole text.
 
 Everything runs on SQL functions. Null text is empty and has no anchors; texts of
 few words in which no window is an anchor have one, all their words. Two empty fingerprints are alike (1).
@@ -63,7 +65,11 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
 
 def sketch(text: Column, k: int = K, s: int = S, size: int = SKETCH) -> Column:
-    hashes = F.transform(anchors(text, k, s), lambda a: a["hash"])
+    return sketch_of(anchors(text, k, s), size)
+
+
+def sketch_of(found: Column, size: int = SKETCH) -> Column:
+    hashes = F.transform(found, lambda a: a["hash"])
     return F.slice(F.sort_array(F.array_distinct(hashes)), 1, size)
 
 
@@ -76,6 +82,52 @@ def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
     return let(F.slice(F.sort_array(F.array_union(a, b)), 1, size), of)
 
 
+def aligned(a: Column, b: Column) -> Column:
+    """Share of anchors in common that stand in the same order, from all anchors of two texts."""
+
+    def sided(found: Column, side: int) -> Column:
+        placed = F.array_sort(F.transform(found, lambda x, i: F.struct(x["hash"].alias("hash"), i.alias("at"))))
+
+        def ranked(entries: Column) -> Column:
+            return let(F.transform(entries, lambda e: e["hash"]), lambda hashes: F.transform(entries, lambda e, i: F.struct(
+                e["hash"].alias("hash"), (i + 1 - F.array_position(hashes, e["hash"])).alias("rank"), F.lit(side).alias("side"), e["at"].alias("at")
+            )))
+
+        return let(placed, ranked)
+
+    def met(entries: Column) -> Column:
+        def pair(e: Column, i: Column) -> Column:
+            other = F.get(entries, i + 1)
+            same = (e["side"] == 0) & (other["side"] == 1) & (e["hash"] == other["hash"]) & (e["rank"] == other["rank"])
+            return F.when(same, F.struct(e["at"].alias("a"), other["at"].alias("b")))
+
+        return F.array_sort(F.array_compact(F.transform(entries, pair)))
+
+    def runs(pairs: Column) -> Column:
+        def starts_at(p: Column, i: Column) -> Column:
+            last = F.get(pairs, i - 1)
+            return F.when((i == 0) | (p["a"] != last["a"] + 1) | (p["b"] != last["b"] + 1), i)
+
+        def cut(starts: Column) -> Column:
+            return F.transform(starts, lambda s, i: F.struct(
+                F.get(pairs, s)["b"].alias("b"), (F.coalesce(F.get(starts, i + 1), F.size(pairs)) - s).alias("n")
+            ))
+
+        return let(F.array_compact(F.transform(pairs, starts_at)), cut)
+
+    def heaviest(found: Column) -> Column:
+        def chain(state: Column, run: Column) -> Column:
+            before = F.array_max(F.transform(state, lambda s: F.when(s["b"] < run["b"], s["best"]).otherwise(0)))
+            return F.array_append(state, F.struct(run["b"].alias("b"), (run["n"] + F.coalesce(before, F.lit(0))).alias("best")))
+
+        none = F.array().cast("array<struct<b:int,best:int>>")
+        return F.coalesce(F.array_max(F.transform(F.aggregate(found, none, chain), lambda s: s["best"])), F.lit(0))
+
+    common = let(let(F.array_sort(F.concat(sided(a, 0), sided(b, 1))), met), lambda pairs: heaviest(runs(pairs)))
+    every = F.size(a) + F.size(b)
+    return F.when(every == 0, F.lit(1.0)).otherwise(let(common, lambda c: c / (every - c)))
+
+
 def as_text(hashes: Column) -> Column:
     """Fixed-width hexadecimal, comma-joined."""
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ",")
@@ -123,17 +175,12 @@ def beside_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     return dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where("not __copy.ghost").drop("__copy")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, text, fingerprint sketch and anchors of each document."""
-    text = whole_text()
-    return docs.withColumn("anchors", anchors(text)).withColumn("sketch", sketch(text))
-
-
 def edited(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, sketch, next_sketch, edited): the last half of each text replaced by the start of the next document."""
-    base = docs.select("doc_id", whole_text().alias("text"))
-    both = beside_next(base.withColumn("sketch", sketch(F.col("text"))), ["text", "sketch"])
+    """(doc_id, text, edited, anchors, next_anchors, sketch): the last half of each text replaced by the start of the next document."""
+    both = beside_next(docs.select("doc_id", whole_text().alias("text")), ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    new = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next_text", "text"), F.lit(1), half))
-    return both.withColumn("edited", new).withColumn("next_sketch", F.coalesce("next_sketch", "sketch")).drop("next_text")
+    following = F.coalesce("next_text", "text")
+    new = F.concat(F.substring("text", F.lit(1), n - half), F.substring(following, F.lit(1), half))
+    found = both.withColumns({"edited": new, "anchors": anchors(F.col("text")), "next_anchors": anchors(following)})
+    return found.withColumn("sketch", sketch_of(F.col("anchors"))).drop("next_text")

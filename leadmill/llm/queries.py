@@ -57,12 +57,12 @@ def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     both = fingerprint.edited(table(spark, folder, "documents"))
-    named = both.withColumn("edited_sketch", fingerprint.sketch(F.col("edited")))
+    named = both.withColumn("edited_anchors", fingerprint.anchors(F.col("edited")))
     return named.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint.as_text(F.col("sketch")).alias("fingerprint"), fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        fingerprint.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        fingerprint.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"), fingerprint.as_text(fingerprint.sketch_of(F.col("edited_anchors"))).alias("edited_fingerprint"),
+        fingerprint.aligned(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        fingerprint.aligned(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
     )
 
 

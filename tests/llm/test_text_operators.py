@@ -262,6 +262,35 @@ def test_fingerprints(spark, docs, rows, none):
     assert fingerprint.edited(none).count() == 0
 
 
+def aligned_by_hand(a, b):
+    seen, places = Counter(), {}
+    for j, h in enumerate(b):
+        places[h, seen[h]] = j
+        seen[h] += 1
+    seen, chain = Counter(), []
+    for h in a:
+        if (j := places.get((h, seen[h]))) is not None:
+            chain.append((j, 1 + max((n for i, n in chain if i < j), default=0)))
+        seen[h] += 1
+    common = max((n for _, n in chain), default=0)
+    return common / (len(a) + len(b) - common) if a or b else 1.0
+
+
+def test_fingerprints_align_by_position(spark):
+    draw = random.Random(19)
+    long = [[f"w{draw.randrange(10**6)}" for _ in range(2000)] for _ in range(3)]
+    shared = long[0][500:550]
+    pairs = [(long[0], long[1][:900] + shared + long[1][900:]), (long[0], long[0][1000:] + long[0][:1000]), (long[0], long[0]), ([], []), ([], ["a"]),
+             (["a", "b", "c"] * 200, ["b", "c", "a"] * 100 + long[2]), (long[0], long[1])]
+    pairs += [([draw.choice("abc") for _ in range(80)], [draw.choice("abc") for _ in range(90)]) for _ in range(20)]
+    rows = [(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i int, a string, b string").withColumns({"x": fingerprint.anchors(F.col("a")), "y": fingerprint.anchors(F.col("b"))})
+    got = {r.i: r for r in df.withColumn("near", fingerprint.aligned(F.col("x"), F.col("y"))).collect()}
+    for r in got.values():
+        assert r.near == pytest.approx(aligned_by_hand([p.hash for p in r.x], [p.hash for p in r.y]))
+    assert got[0].near > 0 and 0.2 < got[1].near < 0.5 and got[2].near == 1 and got[3].near == 1 and got[6].near == 0
+
+
 def counts_by_hand(text):
     text = text or ""
     words = words_of(text)
