@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadmill.llm import bpe, chat, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding, url_filter
+from leadmill.llm import bpe, chat, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding, token_files, url_filter
 from leadmill.llm.common import table
+from leadmill.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +97,10 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+@query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    written = scratch_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), written)
+    return token_files.read(spark, written)
