@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadmill.llm import bpe, chat, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding, token_files, url_filter
+from leadmill.llm import bpe, chat, fingerprint, lm_score, near_dedup, packing, prefix_trie, quality, secret_scan, sharding, token_files, url_filter
 from leadmill.llm.common import table
 from leadmill.session import scratch_path
 
@@ -104,3 +104,8 @@ def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     written = scratch_path(spark, "token-files")
     token_files.write(table(spark, folder, "documents"), written)
     return token_files.read(spark, written)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
