@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadmill.llm import bpe, chat, fingerprint, lm_score, near_dedup, packing, prefix_trie, quality, secret_scan, sharding, token_files, url_filter
+from leadmill.llm import bpe, chat, filter_audit, fingerprint, lm_score, near_dedup, packing, prefix_trie, quality, secret_scan, sharding, token_files, url_filter
 from leadmill.llm.common import table
 from leadmill.session import scratch_path
 
@@ -109,3 +109,60 @@ def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{folder}/documents.parquet", table(spark, folder, "labels"))
+
+
+SQL["op11_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d
+), lab AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+), m AS (
+    SELECT w.part,
+        len(words) < 200 AS fa,
+        100 * len(list_distinct(words)) < 50 * len(words) AS fb,
+        100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) AS fc,
+        regexp_matches(t, '[#$%&*|]') AS fd,
+        coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false) AS fe,
+        coalesce(lab.good, 0) AS good, coalesce(lab.toxic, 0) AS toxic
+    FROM w LEFT JOIN lab ON w.doc_id = lab.doc_id
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+    SELECT a.x || b.x || c.x || p.x || q.x AS filter_order
+    FROM letters a, letters b, letters c, letters p, letters q
+    WHERE a.x NOT IN (b.x, c.x, p.x, q.x) AND b.x NOT IN (c.x, p.x, q.x) AND c.x NOT IN (p.x, q.x) AND p.x <> q.x
+), steps AS (
+    SELECT filter_order, s AS step, substr(filter_order, s, 1) AS letter, substr(filter_order, 1, s - 1) AS before
+    FROM orders, range(1, 6) r(s)
+), parts AS (SELECT DISTINCT part FROM d), flags AS (
+    SELECT m.part, filter_order, step, letter, good, toxic,
+        CASE letter WHEN 'A' THEN fa WHEN 'B' THEN fb WHEN 'C' THEN fc WHEN 'D' THEN fd ELSE fe END AS fails,
+        (contains(before, 'A') AND fa) OR (contains(before, 'B') AND fb) OR (contains(before, 'C') AND fc)
+            OR (contains(before, 'D') AND fd) OR (contains(before, 'E') AND fe) AS earlier,
+        fa::INT + fb::INT + fc::INT + fd::INT + fe::INT AS n_fails
+    FROM m, steps
+), counted AS (
+    SELECT p.part, s.filter_order, s.step, s.letter,
+        coalesce(sum(CASE WHEN NOT fails AND NOT earlier THEN 1 ELSE 0 END), 0) AS kept,
+        coalesce(sum(CASE WHEN fails AND NOT earlier THEN 1 ELSE 0 END), 0) AS removed,
+        coalesce(sum(CASE WHEN fails AND earlier THEN 1 ELSE 0 END), 0) AS redundant,
+        coalesce(sum(CASE WHEN fails AND n_fails = 1 THEN 1 ELSE 0 END), 0) AS unique_fails,
+        coalesce(sum(CASE WHEN fails AND NOT earlier AND good = 1 THEN 1 ELSE 0 END), 0) AS good_lost,
+        coalesce(sum(CASE WHEN fails AND NOT earlier AND toxic = 1 THEN 1 ELSE 0 END), 0) AS toxic_lost
+    FROM parts p CROSS JOIN steps s
+    LEFT JOIN flags f ON f.part = p.part AND f.filter_order = s.filter_order AND f.step = s.step
+    GROUP BY p.part, s.filter_order, s.step, s.letter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
