@@ -1,10 +1,11 @@
 """Token-id files: flat little-endian unsigned 32-bit ids and 64-bit document offsets.
 
-``write`` encodes every document (null text: empty) with a tokenizers vocabulary,
-appends the end id, sorts all documents by doc_id (nulls first; equal doc_ids by
-their ids, bytewise) and writes, per range partition of that sort, one block:
+``write`` sorts all documents by doc_id (nulls first; equal doc_ids by their text),
+encodes each (null text: empty) with a tokenizers vocabulary inside the task that
+writes it, appends the end id and writes, per range partition of that sort, one block:
 
-- ``ids/part-NNNNNN.u32``: the ids of its documents, back to back;
+- ``ids/part-NNNNNN.u16`` (``.u32`` when the vocabulary has more than 65,536 ids):
+  the ids of its documents, back to back, as flat little-endian unsigned integers;
 - ``offsets/part-NNNNNN.i64``: for each document its first id in the whole corpus,
   then the end of the block (n + 1 values, global positions);
 - ``docs/part-NNNNNN.i64`` and ``nulls/part-NNNNNN.u8``: doc_id (0 where null) and 1
@@ -15,7 +16,11 @@ in memory; the global offsets need the ids of all blocks before, which come from
 prefix sum over the blocks' totals, one row a block. Files are written under a
 temporary name and moved into place, so a task that runs again after a lost
 executor replaces its block whole. ``read`` memory-maps the files (reads ranges on
-remote file systems) and gives one row per document.
+remote file systems) and gives one row per document, with the CRC-32 of its ids as
+little-endian unsigned 32-bit integers whatever the width on disk.
+
+The sort moves the texts, not the ids, so its range bounds are sampled from a scan
+of two columns and every text is encoded once.
 
 Repeated rows are documents of their own. An empty table writes no block and reads
 back no rows. Other columns of the input are ignored.
@@ -34,8 +39,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from leadmill.llm.common import runs_of, vocabulary, whole_text, worker_value
 from leadmill.llm.packing import END_ID, TOKENIZER, ChunkIds
 
-ENCODED = "doc_id bigint, ids binary, n_tokens bigint"
 INDEX = "block int, at bigint, doc_id bigint, local bigint, n_tokens bigint"
+
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 #: Documents read back and given out at once.
 READ_ROWS = 65_536
@@ -57,62 +62,53 @@ def put(system, path: str, data: bytes | memoryview) -> None:
     system.move(temporary, path)
 
 
-def encode(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids, n_tokens): each whole text's ids as little-endian uint32 bytes, the end id last."""
-    path = path or vocabulary(TOKENIZER)
-    end = int(end_id).to_bytes(4, "little")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_value(("packing", path), lambda: ChunkIds(path))
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for a, b in runs_of((len(t.as_buffer()) for t in texts), 4 << 20):
-                ids = [b"".join([*map(cache.__getitem__, t.split()), end]) for t in texts.slice(a, b - a).to_pylist()]
-                yield pa.record_batch(
-                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())],
-                    names=["doc_id", "ids", "n_tokens"],
-                )
+def width_of(path: str) -> int:
+    """Bytes an id takes on disk: 2 when every id of the vocabulary fits, else 4."""
+    from tokenizers import Tokenizer
 
-    return docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).mapInArrow(run, ENCODED)
+    return 2 if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-def write_blocks(encoded: DataFrame, folder: str) -> DataFrame:
-    """Sorts the documents and writes their ids block by block; (block, at, doc_id, local, n_tokens) per document.
+def write_blocks(docs: DataFrame, folder: str, path: str, width: int, end_id: int = END_ID) -> DataFrame:
+    """Sorts the documents, encodes and writes them block by block; (block, at, doc_id, local, n_tokens) per document.
 
     ``local`` is the document's first id inside its block, ``at`` its place there.
     """
     system, root = file_system(folder)
     for part in ("ids", "offsets", "docs", "nulls"):
         system.create_dir(f"{root}/{part}")
+    kind, suffix = ("<u2", "u16") if width == 2 else ("<u4", "u32")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId()
-        name = f"{root}/ids/part-{block:06d}.u32"
-        temporary = f"{name}.{TaskContext.get().attemptNumber()}.tmp"
+        cache = worker_value(("packing", path), lambda: ChunkIds(path))
+        context = TaskContext.get()
+        block = context.partitionId()
+        name = f"{root}/ids/part-{block:06d}.{suffix}"
+        temporary = f"{name}.{context.attemptNumber()}.tmp"
         out, at, local = None, 0, 0
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            out = out or system.open_output_stream(temporary)
-            ids = batch.column("ids")
-            for chunk in ids.chunks if isinstance(ids, pa.ChunkedArray) else [ids]:
-                ends = np.frombuffer(chunk.buffers()[1], np.int32)  # the ids of a batch lie back to back
-                first, last = int(ends[chunk.offset]), int(ends[chunk.offset + len(chunk)])
-                out.write(chunk.buffers()[2].slice(first, last - first))
-            sizes = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            starts = local + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            yield pa.record_batch(
-                [pa.array(np.full(batch.num_rows, block, np.int32)), pa.array(np.arange(at, at + batch.num_rows, dtype=np.int64)),
-                 batch.column("doc_id"), pa.array(starts), batch.column("n_tokens")],
-                names=["block", "at", "doc_id", "local", "n_tokens"],
-            )
-            at, local = at + batch.num_rows, local + int(sizes.sum())
+            texts = batch.column(1).cast(pa.binary())
+            for a, b in runs_of((len(t.as_buffer()) for t in texts), 4 << 20):
+                ids = [
+                    np.frombuffer(b"".join([*map(cache.__getitem__, t.split()), end_id.to_bytes(4, "little")]), "<u4")
+                    for t in texts.slice(a, b - a).to_pylist()
+                ]
+                out = out or system.open_output_stream(temporary)
+                out.write(np.concatenate(ids).astype(kind).tobytes())
+                sizes = np.array([len(i) for i in ids], np.int64)
+                starts = local + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+                yield pa.record_batch(
+                    [pa.array(np.full(b - a, block, np.int32)), pa.array(np.arange(at, at + b - a, dtype=np.int64)),
+                     batch.column(0).slice(a, b - a), pa.array(starts), pa.array(sizes)],
+                    names=["block", "at", "doc_id", "local", "n_tokens"],
+                )
+                at, local = at + b - a, local + int(sizes.sum())
         if out is not None:
             out.close()
             system.move(temporary, name)
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("ids")]
-    return encoded.orderBy(*order).mapInArrow(run, INDEX)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    return texts.orderBy(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, INDEX)
 
 
 def write_offsets(index: DataFrame, folder: str) -> list[tuple[int, int, int]]:
@@ -151,7 +147,12 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     """Encodes and writes all documents of ``docs`` below ``folder``; gives (block, base, ids) of each block."""
     from leadmill.session import materialise
 
-    index = materialise(write_blocks(encode(docs, path, end_id), folder), "token-index")
+    path = path or vocabulary(TOKENIZER)
+    width = width_of(path)
+    system, root = file_system(folder)
+    system.create_dir(root)
+    put(system, f"{root}/width", str(width).encode())
+    index = materialise(write_blocks(docs, folder, path, width, end_id), "token-index")
     return write_offsets(index, folder)
 
 
@@ -169,6 +170,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     system, root = file_system(folder)
     blocks = block_numbers(spark, folder)
     local = type(system).__name__ == "LocalFileSystem"
+    with system.open_input_stream(f"{root}/width") as said:
+        width = int(said.read())
+    kind, suffix = ("<u2", "u16") if width == 2 else ("<u4", "u32")
 
     def opened(name: str):
         return pa.memory_map(name) if local else system.open_input_file(name)
@@ -180,11 +184,14 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 offsets = np.frombuffer(opened(f"{root}/offsets/{part}.i64").read(), "<i8")
                 doc_ids = np.frombuffer(opened(f"{root}/docs/{part}.i64").read(), "<i8")
                 nulls = np.frombuffer(opened(f"{root}/nulls/{part}.u8").read(), np.uint8).astype(bool)
-                ids = opened(f"{root}/ids/{part}.u32")
+                ids = opened(f"{root}/ids/{part}.{suffix}")
                 base = int(offsets[0])
                 for a in range(0, len(doc_ids), READ_ROWS):
                     b = min(a + READ_ROWS, len(doc_ids))
-                    crc = [zlib.crc32(ids.read_at(int(offsets[i + 1] - offsets[i]) * 4, int(offsets[i] - base) * 4)) for i in range(a, b)]
+                    crc = [
+                        zlib.crc32(np.frombuffer(ids.read_at(int(offsets[i + 1] - offsets[i]) * width, int(offsets[i] - base) * width), kind).astype("<u4"))
+                        for i in range(a, b)
+                    ]
                     yield pa.record_batch(
                         [pa.array(doc_ids[a:b], mask=nulls[a:b]), pa.array(offsets[a:b]),
                          pa.array(offsets[a + 1 : b + 1] - offsets[a:b]), pa.array(np.array(crc, np.int64))],

@@ -11,7 +11,7 @@ from leadmill.session import scratch_path
 
 
 def brute(rows):
-    """(doc_id, start, n_tokens, crc) in ascending doc_id, nulls first, equal ids by their id bytes."""
+    """(doc_id, start, n_tokens, crc) in ascending doc_id, nulls first, equal ids by their text."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
@@ -19,10 +19,10 @@ def brute(rows):
     coded = []
     for doc_id, text in rows:
         ids = tok.encode(text or "", add_special_tokens=False).ids + [2]
-        coded.append((doc_id, struct.pack(f"<{len(ids)}I", *ids)))
-    coded.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        coded.append((doc_id, struct.pack(f"<{len(ids)}I", *ids), text or ""))
+    coded.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
     start, out = 0, []
-    for doc_id, ids in coded:
+    for doc_id, ids, _ in coded:
         out.append((doc_id, start, len(ids) // 4, zlib.crc32(ids)))
         start += len(ids) // 4
     return out
