@@ -81,7 +81,6 @@ def with_cosine(df: DataFrame, left: str, right: str, into: str) -> DataFrame:
 
 # --- edit measures
 
-_jaro_winkler_batch = F.pandas_udf(batches.jaro_winkler_batch, T.DoubleType())
 _damerau_batch = F.pandas_udf(batches.damerau_levenshtein_batch, T.DoubleType())
 
 
@@ -96,8 +95,53 @@ def _scored(left: Column, right: Column, batch, worth: Column) -> Column:
     )
 
 
+def code_points(text: Column) -> Column:
+    """The characters of a text as an array, a pair of surrogates as one."""
+    return F.regexp_extract_all(text, F.lit(r"(?s)(.)"), F.lit(1))
+
+
+def jaro_winkler_scores(left: Column, right: Column) -> Column:
+    """Jaro-Winkler of two non-empty texts in the JVM, as ``batches.jaro_winkler_score`` computes it.
+
+    One fold over the characters of ``left`` takes, for each, the first free equal
+    character of ``right`` inside the match window; transpositions pair the matched
+    characters of both sides in order; up to four equal first characters raise a
+    Jaro score above 0.7. Work is len(left) * len(right) array steps at most.
+    """
+
+    def scored(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        la, lb = F.size(a), F.size(b)
+        reach = F.greatest(F.floor(F.greatest(la, lb) / F.lit(2)).cast("int") - 1, F.lit(0))
+        start = F.struct(F.array_repeat(F.lit(False), lb).alias("taken"), F.array().cast("array<string>").alias("common"))
+
+        def step(state: Column, i: Column) -> Column:
+            low, high = F.greatest(F.lit(0), i - reach), F.least(lb, i + reach + 1) - 1
+            window = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+            free = F.filter(window, lambda k: ~state["taken"][k] & (b[k] == a[i]))
+            return F.when(F.size(free) == 0, state).otherwise(F.struct(
+                F.transform(state["taken"], lambda t, k: t | (k == free[0])).alias("taken"),
+                F.concat(state["common"], F.array(a[i])).alias("common"),
+            ))
+
+        def finish(state: Column) -> Column:
+            m = F.size(state["common"])
+            other = F.filter(F.transform(b, lambda x, k: F.when(state["taken"][k], x)), lambda x: x.isNotNull())
+            swapped = F.floor(F.size(F.filter(F.zip_with(state["common"], other, lambda x, y: x != y), lambda z: z)) / F.lit(2))
+            jaro = (m / la + m / lb + (m - swapped) / m) / F.lit(3.0)
+            first = F.least(F.lit(4), la, lb)
+            miss = F.array_position(F.transform(F.sequence(F.lit(0), first - 1), lambda k: a[k] == b[k]), False)
+            same = F.when(miss == 0, first).otherwise(miss - 1)
+            return F.when(m == 0, F.lit(0.0)).when(jaro <= F.lit(0.7), jaro).otherwise(jaro + same * F.lit(0.1) * (F.lit(1.0) - jaro))
+
+        return F.aggregate(F.sequence(F.lit(0), la - 1), start, step, finish)
+
+    both = F.array(F.struct(code_points(left).alias("a"), code_points(right).alias("b")))
+    return F.transform(both, scored)[0]
+
+
 def jaro_winkler(left: Column, right: Column) -> Column:
-    return _scored(left, right, _jaro_winkler_batch, F.lit(True))
+    return _scored(left, right, jaro_winkler_scores, F.lit(True))
 
 
 def damerau_levenshtein(left: Column, right: Column) -> Column:
@@ -118,15 +162,15 @@ def threshold_feature(score: Column, threshold: float = fixed.MATCH_THRESHOLD) -
 def jaro_winkler_feature(left: str, right: str, threshold: float = fixed.MATCH_THRESHOLD) -> Column:
     """1 where Jaro-Winkler of two columns reaches the threshold.
 
-    Lengths and the common start bound the score from above in the JVM; only pairs
-    that can still reach the threshold are scored in Python.
+    Lengths and the common start bound the score from above; only pairs that can
+    still reach the threshold are scored, all in the JVM.
     """
     a, b = named(left), named(right)
     shared = f"least(length({a}), length({b}))"
     jaro = f"({shared} / nullif(length({a}), 0) + {shared} / nullif(length({b}), 0) + 1) / 3"
     start = " + ".join(f"cast(substr({a}, 1, {n}) = substr({b}, 1, {n}) as int)" for n in range(1, 5))
     can = F.expr(f"{jaro} + ({start}) * 0.1D * (1 - {jaro}) >= {threshold - SLACK!r}D")
-    return threshold_feature(_scored(quoted(left), quoted(right), _jaro_winkler_batch, can), threshold)
+    return threshold_feature(_scored(quoted(left), quoted(right), jaro_winkler_scores, can), threshold)
 
 
 def damerau_levenshtein_feature(left: str, right: str, threshold: float = fixed.MATCH_THRESHOLD) -> Column:

@@ -237,3 +237,18 @@ def test_older_rules_are_keyed_by_the_right_side(spark):
 def test_score_counts_match_columns_only(spark):
     pairs = spark.createDataFrame([(1, 1)], "Match_a long, other long")
     assert L.add_score(pairs, ["Match_a", "other"]).first()["Match_zScore"] == 1
+
+
+def test_jaro_winkler_in_the_jvm_equals_the_loop(spark):
+    """Random texts over a small alphabet with accents and a character outside the BMP."""
+    rng = random.Random(7)
+    alphabet = "abcde fghABé\U0001F600"
+    pairs = [
+        ("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14))), "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14))))
+        for _ in range(1500)
+    ] + [("martha", "marhta"), ("dixon", "dicksonx"), ("a", "b"), ("ab", "ba")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", S.jaro_winkler_scores(F.col("a"), F.col("b")).alias("s")
+    ).collect()
+    for r in rows:
+        assert r.s == pytest.approx(batches.jaro_winkler_score(r.a, r.b), abs=1e-12), (r.a, r.b)
