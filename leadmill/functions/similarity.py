@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadmill import fixed_values as fixed
-from leadmill.functions import batches
 from leadmill.functions.text import without_accents
 from leadmill.functions.values import flag, quoted
 
@@ -81,7 +80,6 @@ def with_cosine(df: DataFrame, left: str, right: str, into: str) -> DataFrame:
 
 # --- edit measures
 
-_damerau_batch = F.pandas_udf(batches.damerau_levenshtein_batch, T.DoubleType())
 
 
 def _scored(left: Column, right: Column, batch, worth: Column) -> Column:
@@ -144,9 +142,61 @@ def jaro_winkler(left: Column, right: Column) -> Column:
     return _scored(left, right, jaro_winkler_scores, F.lit(True))
 
 
+def damerau_levenshtein_distances(left: Column, right: Column) -> Column:
+    """Edits with transpositions between two texts, in the JVM, as ``batches.damerau_levenshtein_distance``.
+
+    The edit table is built row by row in a fold over the characters of ``left``; a
+    row is a fold over those of ``right``. Row -1 and column -1 hold the sentinel
+    len(left) + len(right); the last row of each character of ``left`` is a map, the
+    last column of a match in this row a number, so a transposition may have edits
+    in between. Arrays hold column j at j + 1 and row i at i + 1.
+    """
+
+    def distance(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        la, lb = F.size(a), F.size(b)
+        far = la + lb
+        first_rows = F.array(
+            F.array_repeat(far, lb + 2),
+            F.concat(F.array(far), F.sequence(F.lit(0), lb)),
+        )
+        start = F.struct(first_rows.alias("table"), F.create_map().cast("map<string,int>").alias("last"))
+
+        def row_of(state: Column, i: Column) -> Column:
+            table, up, x = state["table"], state["table"][i], a[i - 1]
+
+            def cell(built: Column, j: Column) -> Column:
+                r, y = built["r"], b[j - 1]
+                seen, col = F.coalesce(F.try_element_at(state["last"], y), F.lit(0)), built["lc"]
+                value = F.least(
+                    up[j] + (x != y).cast("int"), r[j] + 1, up[j + 1] + 1,
+                    table[seen][col] + (i - seen - 1) + 1 + (j - col - 1),
+                )
+                return F.struct(F.concat(r, F.array(value)).alias("r"), F.when(x == y, j).otherwise(col).alias("lc"))
+
+            opened = F.struct(F.array(far, i).alias("r"), F.lit(0).alias("lc"))
+            built = F.aggregate(F.sequence(F.lit(1), lb), opened, cell)
+            return F.struct(
+                F.concat(table, F.array(built["r"])).alias("table"),
+                F.map_concat(F.map_filter(state["last"], lambda k, v: k != x), F.create_map(x, i)).alias("last"),
+            )
+
+        done = F.aggregate(F.sequence(F.lit(1), la), start, row_of)
+        return done["table"][la + 1][lb + 1]
+
+    both = F.array(F.struct(code_points(left).alias("a"), code_points(right).alias("b")))
+    return F.transform(both, distance)[0]
+
+
+def damerau_levenshtein_scores(left: Column, right: Column) -> Column:
+    """1 - distance / longer length of two non-empty texts, in the JVM."""
+    longer = F.greatest(F.size(code_points(left)), F.size(code_points(right)))
+    return F.lit(1.0) - damerau_levenshtein_distances(left, right) / longer
+
+
 def damerau_levenshtein(left: Column, right: Column) -> Column:
     """1 - distance / longer length."""
-    return _scored(left, right, _damerau_batch, F.lit(True))
+    return _scored(left, right, damerau_levenshtein_scores, F.lit(True))
 
 
 # --- 0/1 features
@@ -177,13 +227,13 @@ def damerau_levenshtein_feature(left: str, right: str, threshold: float = fixed.
     """1 where 1 - distance / longer length of two columns reaches the threshold.
 
     The plain edit distance, which the JVM computes within a bound, is at least this
-    distance and at most twice it; only pairs between the two go to Python.
+    distance and at most twice it; only pairs between the two are scored in full.
     """
     a, b = named(left), named(right)
     edits = f"cast(floor(greatest(length({a}), length({b})) * {1 - threshold!r}D + {SLACK!r}D) as int)"
     plain = F.expr(f"levenshtein({a}, {b}, 2 * {edits})")
     near = (plain >= 0) & (plain <= F.expr(edits))
-    rest = _scored(quoted(left), quoted(right), _damerau_batch, plain > F.expr(edits))
+    rest = _scored(quoted(left), quoted(right), damerau_levenshtein_scores, plain > F.expr(edits))
     filled = F.expr(f"{a} <> '' and {b} <> ''")
     return F.when(filled & near, F.lit(1).cast("bigint")).otherwise(threshold_feature(rest, threshold - SLACK))
 

@@ -239,7 +239,7 @@ def test_score_counts_match_columns_only(spark):
     assert L.add_score(pairs, ["Match_a", "other"]).first()["Match_zScore"] == 1
 
 
-def test_jaro_winkler_in_the_jvm_equals_the_loop(spark):
+def test_edit_measures_in_the_jvm_equal_the_loops(spark):
     """Random texts over a small alphabet with accents and a character outside the BMP."""
     rng = random.Random(7)
     alphabet = "abcde fghABé\U0001F600"
@@ -248,7 +248,9 @@ def test_jaro_winkler_in_the_jvm_equals_the_loop(spark):
         for _ in range(1500)
     ] + [("martha", "marhta"), ("dixon", "dicksonx"), ("a", "b"), ("ab", "ba")]
     rows = spark.createDataFrame(pairs, "a string, b string").select(
-        "a", "b", S.jaro_winkler_scores(F.col("a"), F.col("b")).alias("s")
+        "a", "b", S.jaro_winkler_scores(F.col("a"), F.col("b")).alias("s"),
+        S.damerau_levenshtein_distances(F.col("a"), F.col("b")).alias("d"),
     ).collect()
     for r in rows:
         assert r.s == pytest.approx(batches.jaro_winkler_score(r.a, r.b), abs=1e-12), (r.a, r.b)
+        assert r.d == batches.damerau_levenshtein_distance(r.a, r.b), (r.a, r.b)
