@@ -44,10 +44,12 @@ WORDS = r"[^\x20\x09-\x0D]+"
 DELTAS = "part string, mask int, good int, toxic int, n long"
 STATE = "low long, holders string"
 E_BIT = 1 << 4
+STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(part, key, doc_id, mask, good, toxic): mask holds the bits of A to D (bit 0 is A)."""
+    """(part, key, has_id, doc_id, mask, good, toxic): mask holds the bits of A to D (bit 0 is A)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.filter(F.split(text, WORDS.replace("^", "")), lambda w: w != "")
     n_words = F.regexp_count(text, F.lit(WORDS))
@@ -65,38 +67,38 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), F.sha2(text, 256).alias("key"),
         F.col("doc_id").cast("bigint").alias("doc_id"), mask.cast("int").alias("mask"),
     )
+    # doc_id without nulls, so that it stays an exact 64-bit integer in pandas
     return measured.join(marks, measured.doc_id == marks.__label_id, "left").select(
-        "part", "key", "doc_id", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic")
+        "part", "key", F.col("doc_id").isNotNull().alias("has_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "mask",
+        F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"),
     )
 
 
 def retracting(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Counter deltas of one text in one micro-batch, and its state: the smallest doc_id and the rows holding it."""
+    """Counter deltas of one text in one micro-batch, and its state: the smallest doc_id and the rows holding it.
+
+    Rows are tallied one by one into (part, mask, good, toxic) counts; no frame is
+    grouped per text, as most texts have one row.
+    """
     low, holders, above, free = None, {}, {}, {}
     for chunk in chunks:
-        idless = chunk[chunk.doc_id.isna()]
-        for (part, mask, good, toxic), n in idless.groupby(["part", "mask", "good", "toxic"]).size().items():
-            k = (str(part), int(mask), int(good), int(toxic))
-            free[k] = free.get(k, 0) + int(n)
-        chunk = chunk[chunk.doc_id.notna()]
-        if chunk.empty:
-            continue
-        least = int(chunk.doc_id.min())
-        if low is not None and least < low:
-            for k, n in holders.items():
-                above[k] = above.get(k, 0) + n
-            holders = {}
-        low = least if low is None else min(low, least)
-        at = chunk.doc_id == low
-        for rows, into in ((chunk[at], holders), (chunk[~at], above)):
-            for (part, mask, good, toxic), n in rows.groupby(["part", "mask", "good", "toxic"]).size().items():
-                k = (str(part), int(mask), int(good), int(toxic))
-                into[k] = into.get(k, 0) + int(n)
+        columns = (chunk[c].tolist() for c in ("has_id", "doc_id", "part", "mask", "good", "toxic"))
+        for has_id, doc_id, *counted in zip(*columns, strict=True):
+            k = tuple(counted)
+            if not has_id:
+                free[k] = free.get(k, 0) + 1
+                continue
+            if low is None or doc_id < low:
+                for h, n in holders.items():
+                    above[h] = above.get(h, 0) + n
+                holders, low = {}, doc_id
+            into = holders if doc_id == low else above
+            into[k] = into.get(k, 0) + 1
     out: dict[tuple, int] = {}
 
     def add(counts: dict, e_bit: int, sign: int = 1) -> None:
         for (part, mask, good, toxic), n in counts.items():
-            k = (part, int(mask) | e_bit, int(good), int(toxic))
+            k = (part, mask | e_bit, good, toxic)
             out[k] = out.get(k, 0) + sign * n
 
     add(free, 0)
@@ -135,6 +137,8 @@ def stream_source(spark: SparkSession, path: str) -> tuple[str, dict]:
 def counters(spark: SparkSession, documents: str, labels: DataFrame, files_per_batch: int = 1) -> DataFrame:
     """(part, mask, good, toxic, n) over all files of the table at ``documents``, streamed as available now."""
     schema = spark.read.parquet(documents).schema
+    if spark.conf.get(STORE_CONF, None) is None:  # state on local disk of the executors, not in their memory
+        spark.conf.set(STORE_CONF, ROCKSDB)
     folder, options = stream_source(spark, documents)
     stream = spark.readStream.schema(schema).options(maxFilesPerTrigger=files_per_batch, **options).parquet(folder)
     deltas = failures(stream, labels).groupBy("key").applyInPandasWithState(
