@@ -11,7 +11,7 @@ from leadmill import fixed_values as fixed
 from leadmill.functions import values as V
 from leadmill.functions.values import quoted
 from leadmill.operators.columns import fill_missing
-from leadmill.operators.median import exact_median
+from leadmill.operators.median import exact_median, exact_medians
 
 METHODS = ("count", "sum", "unique", "mean", "median", "maxid", "agg")
 
@@ -75,7 +75,8 @@ def grouped_agg(
                 *[aggregate(f, inputs[c], kinds[c]).alias(names.get(c, c)) for c, f in plain.items()]
             )
         )
-    parts += [exact_median(rows, keys, inputs[c], names.get(c, c)) for c in medians]
+    if medians:
+        parts.append(exact_medians(rows, keys, {names.get(c, c): inputs[c] for c in medians}))
     joined = reduce(lambda a, b: a.join(b, list(keys)), parts)
     return joined.select(*[quoted(n) for n in [*keys, *out]])
 
