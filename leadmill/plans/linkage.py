@@ -312,7 +312,8 @@ def matching_pairs(
         raise ValueError("a linkage needs at least one index rule and one comparison")
     ids_left = [left_id, *[f.left for f in plan.features]]
     ids_right = [right_id, *[f.right for f in plan.features]]
-    found = []
+    several = len(plan.blocks) + len(plan.neighbours) > 1
+    found, candidates = [], []
     for keys, rules in ((block_keys, plan.blocks), (neighbour_keys, plan.neighbours)):
         for a, b in rules:
             lefts, rights = keys(
@@ -325,15 +326,47 @@ def matching_pairs(
             whole = whole_blocks
             if whole is None:
                 whole = blocks.pairs <= max(PAIRS_AT_LEAST, PAIRS_PER_ROW * blocks.rows)
-            if whole:
+            if whole and several:
+                rule = len(candidates) + len(found)
+                candidates.append(_block_pairs(lefts, rights, left_id, right_id, blocks.skewed).withColumn("__rule", F.lit(1 << rule)))
+            elif whole:
                 found.append(_whole_blocks(lefts, rights, plan, left_id, right_id, blocks.skewed))
             else:
                 found.append(_shared_tokens(lefts, rights, plan, left_id, right_id))
+    if candidates:
+        found.append(_scored_once(reduce(DataFrame.unionByName, candidates), left, right, plan, left_id, right_id))
     if len(found) == 1:
         return found[0]
     return reduce(DataFrame.unionByName, found).dropDuplicates([left_id, right_id])
 
 
+def _block_pairs(lefts: DataFrame, rights: DataFrame, left_id: str, right_id: str, skewed: bool) -> DataFrame:
+    """(__l, __r): ids of all pairs that share a block of one rule, nothing else carried."""
+    a = lefts.select(quoted(left_id).alias("__l"), "__block")
+    b = rights.select(quoted(right_id).alias("__r"), "__block")
+    a, b, keys = deal_sides(a, b, ["__block"], skewed)
+    return spread(a, keys).join(spread(b, keys), keys).select("__l", "__r")
+
+
+def candidate_table(candidates: DataFrame) -> DataFrame:
+    """(__l, __r, __rules): each pair once, with the bits of the rules that found it, by one aggregation."""
+    return candidates.groupBy("__l", "__r").agg(F.bit_or("__rule").alias("__rules"))
+
+
+def _scored_once(
+    candidates: DataFrame, left: DataFrame, right: DataFrame, plan: LinkPlan, left_id: str, right_id: str
+) -> DataFrame:
+    """Features of each distinct candidate pair, computed once whatever the number of rules that found it.
+
+    The compare columns join the pairs by id, hot ids through a broadcast of their rows.
+    """
+    a = _with_vectors(_narrow(left, left_id, "l:", [f.left for f in plan.features], []), "l:", plan.left_vectors)
+    b = _with_vectors(_narrow(right, right_id, "r:", [f.right for f in plan.features], []), "r:", plan.right_vectors)
+    pairs = candidate_table(candidates).select(F.col("__l").alias(left_id), F.col("__r").alias(right_id))
+    met = attach(attach(pairs, a, [left_id], "inner"), b, [right_id], "inner")
+    return _score(met, plan, [left_id, right_id])
+
+
 # --- scores
 
 def add_score(pairs: DataFrame, labels: Sequence[str], name: str = "Match_zScore") -> DataFrame:

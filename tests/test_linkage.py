@@ -254,3 +254,28 @@ def test_edit_measures_in_the_jvm_equal_the_loops(spark):
     for r in rows:
         assert r.s == pytest.approx(batches.jaro_winkler_score(r.a, r.b), abs=1e-12), (r.a, r.b)
         assert r.d == batches.damerau_levenshtein_distance(r.a, r.b), (r.a, r.b)
+
+
+def test_each_candidate_is_scored_once(spark, monkeypatch):
+    """Several rules: the pairs that reach the features are the distinct candidates of all rules."""
+    left, right = frames(spark)
+    plan = L.make_plan(left, right, RULES, L.JARO_WINKLER)
+    seen = []
+    real = L._score
+
+    def spy(pairs, plan, ids):
+        seen.append(pairs)
+        return real(pairs, plan, ids)
+
+    monkeypatch.setattr(L, "_score", spy)
+    got = rows(L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=True))
+    assert len(seen) == 1
+    scored = sorted(tuple(r) for r in seen[0].select("LId", "RId").collect())
+    expected = set()
+    for keys, rules in ((K.block_keys, plan.blocks), (K.neighbour_keys, plan.neighbours)):
+        for a, b in rules:
+            lefts, rights = keys(left, right, a, b)
+            expected |= {(r.LId, r.RId) for r in lefts.join(rights, "__block").select("LId", "RId").collect()}
+    assert scored == sorted(expected)
+    monkeypatch.setattr(L, "_score", real)
+    assert got == rows(L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=False))
