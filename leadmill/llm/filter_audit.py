@@ -134,12 +134,34 @@ def stream_source(spark: SparkSession, path: str) -> tuple[str, dict]:
     return jpath.getParent().toString(), {"pathGlobFilter": jpath.getName()}
 
 
-def counters(spark: SparkSession, documents: str, labels: DataFrame, files_per_batch: int = 1) -> DataFrame:
-    """(part, mask, good, toxic, n) over all files of the table at ``documents``, streamed as available now."""
+def wave_files(spark: SparkSession, folder: str, options: dict) -> int:
+    """Files per micro-batch: as many as one wave of the cluster reads, its cores times a read split.
+
+    Each micro-batch costs every state partition a Python task, so batches are
+    sized to the cluster, not to single files; the sizes come from the listing.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern = options.get("pathGlobFilter", "*.parquet")
+    sizes = [f.getLen() for f in system.globStatus(jvm.org.apache.hadoop.fs.Path(path, pattern)) if f.isFile()]
+    if not sizes:
+        return 1
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    wave = max(1, spark.sparkContext.defaultParallelism) * split
+    return max(1, -(-len(sizes) * wave // max(1, sum(sizes))))
+
+
+def counters(spark: SparkSession, documents: str, labels: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+    """(part, mask, good, toxic, n) over all files of the table at ``documents``, streamed as available now.
+
+    ``files_per_batch``: files per micro-batch; by default one wave of the cluster (``wave_files``).
+    """
     schema = spark.read.parquet(documents).schema
     if spark.conf.get(STORE_CONF, None) is None:  # state on local disk of the executors, not in their memory
         spark.conf.set(STORE_CONF, ROCKSDB)
     folder, options = stream_source(spark, documents)
+    files_per_batch = files_per_batch or wave_files(spark, folder, options)
     stream = spark.readStream.schema(schema).options(maxFilesPerTrigger=files_per_batch, **options).parquet(folder)
     deltas = failures(stream, labels).groupBy("key").applyInPandasWithState(
         retracting, DELTAS, STATE, "append", GroupStateTimeout.NoTimeout
@@ -219,6 +241,6 @@ def explain(counted: DataFrame) -> DataFrame:
     )
 
 
-def audit(spark: SparkSession, documents: str, labels: DataFrame, files_per_batch: int = 1) -> DataFrame:
+def audit(spark: SparkSession, documents: str, labels: DataFrame, files_per_batch: int | None = None) -> DataFrame:
     """The audit of the documents table stored at ``documents`` (a folder or file of Parquet)."""
     return explain(counters(spark, documents, labels, files_per_batch))

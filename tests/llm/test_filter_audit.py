@@ -36,11 +36,14 @@ def test_smaller_ids_arrive_later(spark):
     for rows in files:  # three files in one folder, written one after the other
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
     labels = spark.createDataFrame([(5, 1, 0), (5, 0, 1), (9, 1, 1), (1, 0, 0)], "doc_id bigint, quality int, toxic int")
-    got = filter_audit.audit(spark, folder, labels).toPandas()
     docs = pd.DataFrame([r for rows in files for r in rows], columns=["doc_id", "text", "lang", "source", "n_chars"])
     docs["doc_id"] = docs["doc_id"].astype("Int64")
-    assert len(got) == 4 * 600
-    same(got, by_sql(docs, labels.toPandas()))
+    want = by_sql(docs, labels.toPandas())
+    assert filter_audit.wave_files(spark, folder, {}) >= 3  # small files: one wave reads them all
+    for per_batch in (1, None):  # a file per micro-batch, retracting across them; one wave per batch
+        got = filter_audit.audit(spark, folder, labels, per_batch).toPandas()
+        assert len(got) == 4 * 600
+        same(got, want)
 
 
 def test_empty(spark):
