@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadmill.functions.values import holds_map
+from leadmill.session import materialise
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -122,6 +123,10 @@ def deal_sides(
         F.least(F.greatest(F.ceil(nl / most_rows), edge), nl).cast("int").alias("__wl"),
         F.least(F.greatest(F.ceil(nr / most_rows), edge), nr).cast("int").alias("__wr"),
     )
+    # the hot keys meet each side before it is salted: broadcast, or a hot key's rows would meet in one task
+    hot = materialise(hot, "hot-keys")
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
 
     def dealt(side: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
         row = F.xxhash64(*[F.col(f"`{f.name}`") for f in side.schema if not holds_map(f.dataType)])

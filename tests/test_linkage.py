@@ -132,6 +132,8 @@ def test_cells_of_a_hot_key_are_bounded(spark, monkeypatch):
     a, b, keys = J.deal_sides(left, right, ["k"], True)
     for side in (a, b):
         assert max(r["count"] for r in side.groupBy(*keys).count().collect()) < 150
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan  # the hot keys meet the side without a shuffle of its rows
 
 
 @pytest.mark.parametrize("method", [L.COSINE, L.JARO_WINKLER, L.DAMERAU])
