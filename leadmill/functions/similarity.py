@@ -10,7 +10,7 @@ matched by equi joins on tokens instead of pairing all its rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -98,6 +98,11 @@ def code_points(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"(?s)(.)"), F.lit(1))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used there."""
+    return F.transform(F.array(value), body)[0]
+
+
 def jaro_winkler_scores(left: Column, right: Column) -> Column:
     """Jaro-Winkler of two non-empty texts in the JVM, as ``batches.jaro_winkler_score`` computes it.
 
@@ -116,21 +121,24 @@ def jaro_winkler_scores(left: Column, right: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             low, high = F.greatest(F.lit(0), i - reach), F.least(lb, i + reach + 1) - 1
             window = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-            free = F.filter(window, lambda k: ~state["taken"][k] & (b[k] == a[i]))
-            return F.when(F.size(free) == 0, state).otherwise(F.struct(
-                F.transform(state["taken"], lambda t, k: t | (k == free[0])).alias("taken"),
+            free = F.get(F.filter(window, lambda k: ~state["taken"][k] & (b[k] == a[i])), F.lit(0))
+            return bound(free, lambda first: F.when(first.isNull(), state).otherwise(F.struct(
+                F.transform(state["taken"], lambda t, k: t | (k == first)).alias("taken"),
                 F.concat(state["common"], F.array(a[i])).alias("common"),
-            ))
+            )))
 
         def finish(state: Column) -> Column:
             m = F.size(state["common"])
             other = F.filter(F.transform(b, lambda x, k: F.when(state["taken"][k], x)), lambda x: x.isNotNull())
             swapped = F.floor(F.size(F.filter(F.zip_with(state["common"], other, lambda x, y: x != y), lambda z: z)) / F.lit(2))
-            jaro = (m / la + m / lb + (m - swapped) / m) / F.lit(3.0)
             first = F.least(F.lit(4), la, lb)
             miss = F.array_position(F.transform(F.sequence(F.lit(0), first - 1), lambda k: a[k] == b[k]), False)
-            same = F.when(miss == 0, first).otherwise(miss - 1)
-            return F.when(m == 0, F.lit(0.0)).when(jaro <= F.lit(0.7), jaro).otherwise(jaro + same * F.lit(0.1) * (F.lit(1.0) - jaro))
+            same = bound(miss, lambda place: F.when(place == 0, first).otherwise(place - 1))
+            raised = bound(
+                (m / la + m / lb + (m - swapped) / m) / F.lit(3.0),
+                lambda jaro: F.when(jaro <= F.lit(0.7), jaro).otherwise(jaro + same * F.lit(0.1) * (F.lit(1.0) - jaro)),
+            )
+            return F.when(m == 0, F.lit(0.0)).otherwise(raised)
 
         return F.aggregate(F.sequence(F.lit(0), la - 1), start, step, finish)
 
@@ -147,9 +155,9 @@ def damerau_levenshtein_distances(left: Column, right: Column) -> Column:
 
     The edit table is built row by row in a fold over the characters of ``left``; a
     row is a fold over those of ``right``. Row -1 and column -1 hold the sentinel
-    len(left) + len(right); the last row of each character of ``left`` is a map, the
-    last column of a match in this row a number, so a transposition may have edits
-    in between. Arrays hold column j at j + 1 and row i at i + 1.
+    len(left) + len(right); for each character of ``right`` the last row that had it is
+    kept, and for the row the last column of a match, so a transposition may have edits
+    in between. Without both there is none. Arrays hold column j at j + 1 and row i at i + 1.
     """
 
     def distance(both: Column) -> Column:
@@ -160,29 +168,32 @@ def damerau_levenshtein_distances(left: Column, right: Column) -> Column:
             F.array_repeat(far, lb + 2),
             F.concat(F.array(far), F.sequence(F.lit(0), lb)),
         )
-        start = F.struct(first_rows.alias("table"), F.create_map().cast("map<string,int>").alias("last"))
+        start = F.struct(first_rows.alias("table"), F.array_repeat(F.lit(0), lb).alias("last"))
 
         def row_of(state: Column, i: Column) -> Column:
-            table, up, x = state["table"], state["table"][i], a[i - 1]
-
-            def cell(built: Column, j: Column) -> Column:
-                r, y = built["r"], b[j - 1]
-                seen, col = F.coalesce(F.try_element_at(state["last"], y), F.lit(0)), built["lc"]
-                value = F.least(
-                    up[j] + (x != y).cast("int"), r[j] + 1, up[j + 1] + 1,
-                    table[seen][col] + (i - seen - 1) + 1 + (j - col - 1),
+            def row(line: Column) -> Column:
+                table, up, x, last = line["t"], line["u"], line["x"], line["s"]
+
+                def cell(built: Column, j: Column) -> Column:
+                    r, col = built["r"], built["lc"]
+                    plain = F.least(r[j] + 1, up[j + 1] + 1, up[j] + F.when(b[j - 1] == x, 0).otherwise(1))
+                    moved = bound(last[j - 1], lambda seen: F.when(seen > 0, table[seen][col] + (i - seen) + (j - col) - 1))
+                    return F.struct(
+                        F.concat(r, F.array(F.when(col > 0, F.least(plain, moved)).otherwise(plain))).alias("r"),
+                        F.when(b[j - 1] == x, j).otherwise(col).alias("lc"),
+                    )
+
+                opened = F.struct(F.array(far, i).alias("r"), F.lit(0).alias("lc"))
+                built = F.aggregate(F.sequence(F.lit(1), lb), opened, cell, lambda done: done["r"])
+                return F.struct(
+                    F.concat(table, F.array(built)).alias("table"),
+                    F.zip_with(last, b, lambda seen, y: F.when(y == x, i).otherwise(seen)).alias("last"),
                 )
-                return F.struct(F.concat(r, F.array(value)).alias("r"), F.when(x == y, j).otherwise(col).alias("lc"))
 
-            opened = F.struct(F.array(far, i).alias("r"), F.lit(0).alias("lc"))
-            built = F.aggregate(F.sequence(F.lit(1), lb), opened, cell)
-            return F.struct(
-                F.concat(table, F.array(built["r"])).alias("table"),
-                F.map_concat(F.map_filter(state["last"], lambda k, v: k != x), F.create_map(x, i)).alias("last"),
-            )
+            line = F.struct(state["table"].alias("t"), state["table"][i].alias("u"), a[i - 1].alias("x"), state["last"].alias("s"))
+            return bound(line, row)
 
-        done = F.aggregate(F.sequence(F.lit(1), la), start, row_of)
-        return done["table"][la + 1][lb + 1]
+        return F.aggregate(F.sequence(F.lit(1), la), start, row_of, lambda done: done["table"][la + 1][lb + 1])
 
     both = F.array(F.struct(code_points(left).alias("a"), code_points(right).alias("b")))
     return F.transform(both, distance)[0]
