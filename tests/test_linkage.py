@@ -1,10 +1,12 @@
 """Candidates and linkage against brute force on small fixtures."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from leadmill import catalog
 from leadmill.functions import batches, similarity as S
 from leadmill.operators import candidates as K, joins as J
 from leadmill.plans import linkage as L
@@ -281,3 +283,80 @@ def test_each_candidate_is_scored_once(spark, monkeypatch):
     assert scored == sorted(expected)
     monkeypatch.setattr(L, "_score", real)
     assert got == rows(L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=False))
+
+
+def hot_frames(spark):
+    """Few names, many rows: pairs of records are far more than pairs of profiles."""
+    left = spark.range(400).selectExpr("id as LId", "element_at(array('large ring', 'blue bolt', 'tiny nut', null), cast(id % 4 + 1 as int)) as SF_Name", "id % 2 as SF_Size")
+    right = spark.range(300).selectExpr("id as RId", "element_at(array('large ring', 'large rings', 'blue bolts'), cast(id % 3 + 1 as int)) as ZI_Name", "id % 3 as ZI_Size")
+    return left, right
+
+
+SEVERAL = {
+    "index": {"block": {"SF_Name": ["ZI_Name"]}, "sortedneighbour": {"SF_Name": ["ZI_Name"], "SF_Size": ["ZI_Size"]}},
+    "compare": {"SF_Name": ["ZI_Name"]},
+}
+
+
+@pytest.mark.parametrize("secondary", [False, True])
+def test_hot_blocks_are_stored_as_pairs_of_profiles(spark, monkeypatch, secondary):
+    """The tables written on the way stay small; the pairs of records are made by the last join only."""
+    left, right = hot_frames(spark)
+    whole = rows(L.link_records(left, right, "LId", "RId", SEVERAL, True, secondary, whole_blocks=True))
+    written = []
+
+    def spy(df, label):
+        written.append((label, df.count()))
+        return materialise(df, label)
+
+    materialise = L.materialise
+    monkeypatch.setattr(L, "materialise", spy)
+    folded = rows(L.link_records(left, right, "LId", "RId", SEVERAL, True, secondary, whole_blocks=False))
+    assert folded == whole and len(whole) > 10_000
+    assert max(n for _, n in written) <= 400
+
+
+def test_repeated_and_null_ids_keep_their_pairs(spark):
+    left, right = frames(spark, 20)
+    left = left.union(left.limit(5)).union(spark.createDataFrame([(None, "alpha beta", "b1", 1)], left.schema))
+    plan = L.make_plan(left, right, RULES, L.JARO_WINKLER)
+    got = L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=False)
+    assert got.select("LId", "RId").distinct().count() == got.count()
+    whole = L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=True)
+    assert rows(got.where("LId is not null").select("LId", "RId")) == rows(whole.select("LId", "RId").distinct())
+
+
+def test_values_to_compare_are_not_dealt_out_by_token(spark, monkeypatch):
+    left, right = frames(spark)
+    met = []
+
+    def spy(a, b, on, *more):
+        met.append((on, len(a.columns), len(b.columns)))
+        return J.pair_up(a, b, on, *more)
+
+    monkeypatch.setattr(L, "pair_up", spy)
+    plan = L.make_plan(left, right, RULES)
+    L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=False).count()
+    assert [m for m in met if m[0] == ["__token"]] == [(["__token"], 2, 2)] * 2
+
+
+def test_whole_blocks_take_more_tasks_for_more_rows(spark, monkeypatch):
+    left, right = frames(spark)
+    plan = L.make_plan(left, right, {**RULES, "index": {"block": {"SF_Block": ["ZI_Block"]}}})
+    monkeypatch.setattr(L, "ROWS_PER_TASK", 4)
+    pairs = L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=True)
+    numbers = [int(n) for n in re.findall(r"hashpartitioning\(__block#\d+, (\d+)\), REPARTITION_BY_NUM", pairs._jdf.queryExecution().executedPlan().toString())]
+    assert numbers and min(numbers) > 20
+
+
+def test_costly_comparisons_are_spread_over_tasks(spark, tmp_path):
+    spark.range(5).selectExpr("id as p_partkey", "concat('ring ', id) as p_name", "'Brand#1' as p_brand", "'SMALL' as p_type", "1 as p_size").write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("c1_bigram_cosine", "c2_jaro_winkler", "c3_damerau_levenshtein", "k7_compare_strings"):
+        df = catalog.runners()[name](spark, str(tmp_path))
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_step_of_jaro_winkler_looks_for_its_match_once(spark):
+    """Work by length: each evaluation of the match window again for every character would show as its cube."""
+    scores = str(S.jaro_winkler_scores(F.col("a"), F.col("b"))._jc)
+    assert scores.count("filter(") <= 4
