@@ -5,8 +5,8 @@ fallback tokens, the share of tokens without a letter, and the entropy of its to
 beside plain counts of symbols, repeated lines and repeated three-word windows. Every
 language gets a band per measure from its own documents, the median with a tolerance in
 interquartile ranges that narrows with the number of words; a document with a measure
-outside its language's band is rejected. The tolerances of a language are fitted on a
-bounded sample of labelled documents, measure by measure so that the fewest are judged
+outside its language's band is rejected. The tolerances of a language are fitted on
+all its labelled documents, measure by measure so that the fewest are judged
 wrongly; a language with few labels has those of BANDS.
 
 Null and empty texts have no words and fail the plain rules. Null languages are a
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from leadmill.llm.common import Cache, runs_of, vocabulary, whole_text, worker_value
 from leadmill.session import materialise
@@ -32,8 +32,8 @@ MIN_WORDS = 50
 MOST_REPEATED = 50
 #: Tolerance below and above the median in interquartile ranges, per measure; None leaves a side open.
 BANDS = {"chars_per_token": (3.5, 6.0), "byte_share": (None, 6.0), "bare_share": (None, 3.0), "entropy_ratio": (3.5, None)}
-#: Labelled documents that tolerances are fitted on, those with the smallest hashes of their ids, and the least per language and label.
-SAMPLE_LABELS, LEAST_LABELS = 20_000, 20
+#: Labelled documents that tolerances are fitted on, the least per language and label.
+LEAST_LABELS = 20
 #: Smallest interquartile range that counts, so that a uniform corpus rejects nothing for a trifle.
 LEAST_RANGE = {"chars_per_token": 0.5, "byte_share": 0.5, "bare_share": 0.5, "entropy_ratio": 0.5}
 #: A mean over few words varies more: deviations count times the root of the words, up to this many.
@@ -156,40 +156,52 @@ SIDES = [(f"{name}_{side}", name, sign, usual) for name, band in BANDS.items() f
 FITTED = sorted(SIDES, key=lambda s: s[1] != "bare_share")
 
 
-def fitted(off: np.ndarray, bad: np.ndarray, usual: float) -> float:
-    """The tolerance that judges the fewest wrongly, the usual one or else the nearest to it."""
-    order = np.argsort(off)
-    off, bad = off[order], bad[order]
-    wrong = np.append(0, np.cumsum(bad)) + np.append(np.cumsum(~bad[::-1])[::-1], 0)  # bad ones inside, good ones outside
-    cuts = np.concatenate([off[:1] - 1, (off[:-1] + off[1:]) / 2, off[-1:] + 1])
-    real = np.concatenate([[True], off[:-1] < off[1:], [True]]) & (cuts > 0)
-    cuts, wrong = np.append(cuts[real], usual), np.append(wrong[real], (bad & (off <= usual)).sum() + (~bad & (off > usual)).sum())
-    return float(min(zip(wrong, abs(cuts - usual), cuts, strict=True))[2])
+def fitted(left: DataFrame, column: str, usual: float) -> DataFrame:
+    """(language, cut): the tolerance that judges the fewest of all rows wrongly, the usual one or else the nearest to it.
+
+    The distinct values are range-partitioned and sorted; running counts within a part and
+    those of the parts before it give what a cut between two neighbours leaves in and out.
+    """
+    total = {"bad": F.sum(F.col("bad").cast("bigint")), "good": F.sum((~F.col("bad")).cast("bigint"))}
+    counts = left.groupBy("__lang", F.col(column).alias("off")).agg(*[t.alias(n) for n, t in total.items()])
+    placed = materialise(counts.repartitionByRange("__lang", "off").withColumn("part", F.spark_partition_id()), "offs")
+    own, before = Window.partitionBy("__lang"), Window.partitionBy("__lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("__lang", "part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.max("off").alias("last"))
+    parts = ends.select(  # a row per part and language
+        F.col("__lang").alias("__of"), F.col("part").alias("__part"), F.max("last").over(before).alias("earlier"), F.sum("good").over(own).alias("goods"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in ("bad", "good")],
+    )
+    line = Window.partitionBy("__lang", "part").orderBy("off")
+    below = {n: F.coalesce(F.sum(n).over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col(f"{n}_before") for n in ("bad", "good")}
+    met = placed.join(F.broadcast(parts), F.col("__lang").eqNullSafe(F.col("__of")) & (F.col("part") == F.col("__part")))
+    previous = F.coalesce(F.lag("off").over(line), "earlier")
+    between = met.select("__lang", F.coalesce((previous + F.col("off")) / 2, F.col("off") - 1).alias("cut"), (below["bad"] + F.col("goods") - below["good"]).alias("wrong"))
+    above = ends.groupBy("__lang").agg((F.max("last") + 1).alias("cut"), F.sum("bad").alias("wrong"))
+    kept = F.sum((F.col("bad") == (F.col(column) <= usual)).cast("bigint")).alias("wrong")  # bad ones inside, good ones outside
+    cuts = between.unionByName(above).where("cut > 0").unionByName(left.groupBy("__lang").agg(F.lit(usual).alias("cut"), kept))
+    return cuts.groupBy("__lang").agg(F.min(F.struct("wrong", F.abs(F.col("cut") - usual).alias("apart"), "cut"))["cut"].alias("cut"))
 
 
 def tolerances(met: DataFrame, labels: DataFrame, by: str, key: Column) -> DataFrame:
     """(language, and per measure and side its tolerance) of languages with enough labels, from measured rows with bands."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_LABELS)
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("__doc_id")).agg(F.min("quality").alias("__quality"))
     offs = [F.coalesce(sign * deviation(name), F.lit(0.0)).alias(column) for column, name, sign, _ in SIDES]
-    seen = met.where((F.col("n_words") >= BAND_WORDS) & ~plainly_bad() & F.col("__by_known")).withColumn("__doc_id", key).join(
-        F.broadcast(some.withColumnRenamed("doc_id", "__doc_id")), "__doc_id"
-    ).dropDuplicates(["__doc_id"])
-    rows = seen.select(F.col(by).alias("__lang"), (F.col("__quality") == 0).alias("bad"), *offs).toArrow().to_pylist()  # at most SAMPLE_LABELS rows
-    found = []
-    for lang in {r["__lang"] for r in rows}:
-        own = [r for r in rows if r["__lang"] == lang]
-        bad = np.array([r["bad"] for r in own])
-        if min(bad.sum(), (~bad).sum()) < LEAST_LABELS:
-            continue
-        left, chosen = np.ones(len(own), bool), {}
-        for column, _, _, usual in FITTED:
-            off = np.array([r[column] for r in own])
-            chosen[column] = fitted(off[left], bad[left], usual) if left.any() else usual
-            left &= off <= chosen[column]
-        found.append((lang, *(chosen[column] for column, *_ in SIDES)))
-    shape = T.StructType([T.StructField("__lang", met.schema[by].dataType)] + [T.StructField(column, T.DoubleType()) for column, *_ in SIDES])
-    return met.sparkSession.createDataFrame(found, shape)
+    seen = met.where((F.col("n_words") >= BAND_WORDS) & ~plainly_bad() & F.col("__by_known")).withColumn("__doc_id", key).join(known, "__doc_id")
+    rows = seen.dropDuplicates(["__doc_id"]).select(F.col(by).alias("__lang"), (F.col("__quality") == 0).alias("bad"), *offs)
+    left = materialise(rows, "labelled")
+    least = F.least(F.sum(F.col("bad").cast("bigint")), F.sum((~F.col("bad")).cast("bigint"))) >= LEAST_LABELS
+    found = left.groupBy("__lang").agg(least.alias("enough")).where("enough").select("__lang")
+    left = _of_language(left, found)
+    for column, _, _, usual in FITTED:
+        cut = materialise(fitted(left, column, usual), "cuts")
+        found = materialise(_of_language(found, cut, "left").withColumn(column, F.coalesce("cut", F.lit(usual))).drop("cut"), "tolerances")
+        left = materialise(_of_language(left, cut).where(F.col(column) <= F.col("cut")).drop("cut"), "labelled")
+    return found.select("__lang", *[column for column, *_ in SIDES])
+
+
+def _of_language(rows: DataFrame, languages: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows beside the row of their language, null being one."""
+    return rows.join(F.broadcast(languages.withColumnRenamed("__lang", "__of")), F.col("__lang").eqNullSafe(F.col("__of")), how).drop("__of")
 
 
 def judge(measured: DataFrame, by: str = "lang", labels: DataFrame | None = None, key: Column | None = None) -> DataFrame:

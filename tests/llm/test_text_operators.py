@@ -419,3 +419,19 @@ def test_full_cache_keeps_what_is_wanted():
     cache.learn(["a", "b", "c"])
     cache.learn(["b", "d"])
     assert dict(cache) == {"b": "bb", "d": "dd"} and sorted(asked) == ["a", "b", "c", "d"]
+
+
+def test_tolerances_are_fitted_on_all_labelled_documents(spark):
+    """Cuts over parts and languages equal those of a loop; more rows than a driver-side sample of 20,000 would hold count."""
+    rng = random.Random(3)
+    made = [(lang, rng.random() < 0.3, round(rng.choice([-1, 1]) * rng.random() * 8, 2)) for lang in ("de", None) for _ in range(300)]
+    made += [("en", False, 1.0)] * 21_000 + [("en", True, 2.0)] * 20
+    left = spark.createDataFrame(made, "__lang string, bad boolean, x double").repartition(7)
+    got = {r["__lang"]: r["cut"] for r in quality.fitted(left, "x", 3.5).collect()}
+    for lang in ("de", "en", None):
+        rows = [(bad, x) for name, bad, x in made if name == lang]
+        values = sorted({x for _, x in rows})
+        cuts = [values[0] - 1, *((a + b) / 2 for a, b in zip(values, values[1:])), values[-1] + 1]
+        best = [(sum(bad == (x <= c) for bad, x in rows), abs(c - 3.5), c) for c in [*(c for c in cuts if c > 0), 3.5]] if lang != "en" else [(0, 2.0, 1.5)]
+        assert got[lang] == min(best)[2]
+    assert not hasattr(quality, "SAMPLE_LABELS")
