@@ -42,8 +42,8 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
         def of_stretches(stretches: Column) -> Column:
             def chosen(i: Column) -> Column:
-                least = F.array_min(F.slice(stretches, i + 1, inner))
-                return (least == F.get(stretches, i)) | (least == F.get(stretches, i + (inner - 1)))
+                inside = [F.get(stretches, i + j) for j in range(inner)]
+                return F.array_min(F.array(*inside)).isin(inside[0], inside[-1])
 
             return F.filter(F.sequence(F.lit(0), n - k), chosen)
 
@@ -55,12 +55,12 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         )
 
         def named(places: Column) -> Column:
-            found = F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(words, i + 1, k)).alias("hash")))
+            found = F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(*[F.get(words, i + j) for j in range(k)]).alias("hash")))
             return F.when(F.size(places) > 0, found).otherwise(whole)
 
         return F.when(n >= k, let(let(stretch, of_stretches), named)).otherwise(whole)
 
-    words = F.filter(F.split(text, SPACE, -1), lambda w: w != "")
+    words = F.array_remove(F.split(text, SPACE, -1), "")
     return let(F.transform(words, lambda w: F.xxhash64(w)), of_words)
 
 
@@ -86,22 +86,29 @@ def aligned(a: Column, b: Column) -> Column:
     """Share of anchors in common that stand in the same order, from all anchors of two texts."""
 
     def sided(found: Column, side: int) -> Column:
-        placed = F.array_sort(F.transform(found, lambda x, i: F.struct(x["hash"].alias("hash"), i.alias("at"))))
+        return F.transform(found, lambda h, i: F.struct(h.alias("hash"), F.lit(side).alias("side"), i.alias("at")))
 
-        def ranked(entries: Column) -> Column:
-            return let(F.transform(entries, lambda e: e["hash"]), lambda hashes: F.transform(entries, lambda e, i: F.struct(
-                e["hash"].alias("hash"), (i + 1 - F.array_position(hashes, e["hash"])).alias("rank"), F.lit(side).alias("side"), e["at"].alias("at")
-            )))
+    def met(entries: Column) -> Column:
+        def starts_at(e: Column, i: Column) -> Column:
+            return F.when((i == 0) | (e["hash"] != F.get(entries, i - 1)["hash"]), i)
+
+        def paired(same: Column) -> Column:
+            """First to first, second to second, of the anchors with one hash: those of ``a``, then those of ``b``."""
+            return let(F.size(F.filter(same, lambda e: e["side"] == 0)), lambda n: F.zip_with(
+                F.slice(same, F.lit(1), F.least(n, F.size(same) - n)), F.slice(same, n + 1, F.least(n, F.size(same) - n)),
+                lambda x, y: F.struct(x["at"].alias("a"), y["at"].alias("b")),
+            ))
 
-        return let(placed, ranked)
+        def cut(starts: Column) -> Column:
+            def group(s: Column, i: Column) -> Column:
+                end = F.coalesce(F.get(starts, i + 1), F.size(entries))
+                return F.when(
+                    F.get(entries, s)["side"] != F.get(entries, end - 1)["side"], let(F.slice(entries, s + 1, end - s), paired)
+                )
 
-    def met(entries: Column) -> Column:
-        def pair(e: Column, i: Column) -> Column:
-            other = F.get(entries, i + 1)
-            same = (e["side"] == 0) & (other["side"] == 1) & (e["hash"] == other["hash"]) & (e["rank"] == other["rank"])
-            return F.when(same, F.struct(e["at"].alias("a"), other["at"].alias("b")))
+            return F.sort_array(F.flatten(F.array_compact(F.transform(starts, group))))
 
-        return F.array_sort(F.array_compact(F.transform(entries, pair)))
+        return let(F.array_compact(F.transform(entries, starts_at)), cut)
 
     def runs(pairs: Column) -> Column:
         def starts_at(p: Column, i: Column) -> Column:
@@ -123,9 +130,26 @@ def aligned(a: Column, b: Column) -> Column:
         none = F.array().cast("array<struct<b:int,best:int>>")
         return F.coalesce(F.array_max(F.transform(F.aggregate(found, none, chain), lambda s: s["best"])), F.lit(0))
 
-    common = let(let(F.array_sort(F.concat(sided(a, 0), sided(b, 1))), met), lambda pairs: heaviest(runs(pairs)))
-    every = F.size(a) + F.size(b)
-    return F.when(every == 0, F.lit(1.0)).otherwise(let(common, lambda c: c / (every - c)))
+    def in_order(rest: Column) -> Column:
+        """Anchors in common from all of ``rest``; without a hash in common nothing is sorted."""
+        found = let(let(F.sort_array(F.concat(sided(rest["x"], 0), sided(rest["y"], 1))), met), lambda pairs: heaviest(runs(pairs)))
+        return F.when(F.arrays_overlap(rest["x"], rest["y"]), found).otherwise(0)
+
+    def of_hashes(both: Column) -> Column:
+        x, y = both["x"], both["y"]
+        n, m = F.size(x), F.size(y)
+
+        def after(start: Column) -> Column:
+            """Equal starts match anchor by anchor, repeats included, and stand before all else in both."""
+            rest = F.struct(F.slice(x, start + 1, n - start).alias("x"), F.slice(y, start + 1, m - start).alias("y"))
+            return let(start + let(rest, in_order), lambda c: c / (n + m - c))
+
+        same = F.zip_with(x, y, lambda h, g: h.eqNullSafe(g))
+        start = let(F.array_position(same, F.lit(False)), lambda at: F.when(at == 0, n).otherwise(at - 1).cast("int"))
+        return F.when(n + m == 0, F.lit(1.0)).otherwise(let(start, after))
+
+    hashes = [F.transform(found, lambda e: e["hash"]) for found in (a, b)]
+    return let(F.struct(hashes[0].alias("x"), hashes[1].alias("y")), of_hashes)
 
 
 def as_text(hashes: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from leadmill.llm import bpe, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding
+from leadmill.llm import bpe, common, fingerprint, lm_score, near_dedup, packing, quality, secret_scan, sharding
 from leadmill.llm.common import LOWER_TABLE, table
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -291,6 +292,35 @@ def test_fingerprints_align_by_position(spark):
     assert got[0].near > 0 and 0.2 < got[1].near < 0.5 and got[2].near == 1 and got[3].near == 1 and got[6].near == 0
 
 
+def test_long_texts_align_in_about_linear_time(spark):
+    draw = random.Random(23)
+    own, other = ([draw.randrange(2**40) for _ in range(60_000)] for _ in range(2))
+    pairs = [(own, other), (own[:30_000] + other[30_000:], own[:30_000] + own[30_000:]), ([1, 2, 3] * 500, [1, 2, 3] * 400), ([1, 2] * 40, [2, 1] * 40 + [5])]
+    made = [(i, [(j, h) for j, h in enumerate(a)], [(j, h) for j, h in enumerate(b)]) for i, (a, b) in enumerate(pairs)]
+    kind = "array<struct<position:int,hash:bigint>>"
+    df = spark.createDataFrame(made, f"i int, x {kind}, y {kind}").coalesce(1)
+    near = df.withColumn("near", fingerprint.aligned(F.col("x"), F.col("y"))).select("i", "near")
+    began = time.monotonic()
+    got = dict(map(tuple, near.collect()))
+    assert time.monotonic() - began < 15
+    assert got[0] == 0 and got[1] == 30_000 / 90_000
+    for i in (2, 3):
+        assert got[i] == pytest.approx(aligned_by_hand(*pairs[i]))
+
+
+def test_near_dedup_bounds_what_a_worker_holds(spark, docs, monkeypatch):
+    cache = near_dedup.word_hashes()
+    for at in range(0, 900_000, 150_000):
+        cache.learn(b"%d" % i for i in range(at, at + 150_000))
+    assert len(cache) <= 200_000
+    usual, seen = spark.conf.get(common.BATCH_CONF), []
+    store = near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, name: (seen.append((name, int(spark.conf.get(common.BATCH_CONF)))), store(df, name))[1])
+    near_dedup.near_duplicates(docs).count()
+    assert {n for name, n in seen if name in ("signatures", "sets")} == {common.BATCH_ROWS}
+    assert spark.conf.get(common.BATCH_CONF) == usual
+
+
 def counts_by_hand(text):
     text = text or ""
     words = words_of(text)
