@@ -27,12 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leadmill.llm.common import LOWER_TABLE, Cache, runs_of, whole_text, worker_value
+from leadmill.llm.common import LOWER_TABLE, Cache, runs_of, short_batches, whole_text, worker_value
 from leadmill.session import materialise
 
 SHINGLE = 5
 SIMILAR_PERCENT = 80
 HALVES, ROWS = 16, 3
+#: Word hashes a worker keeps, about 200 bytes each; they are cheap to make again.
+WORDS_KEPT = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SIGNATURES = "doc_id bigint, n_shingles bigint, digest binary, halves array<bigint>"
 SETS = "doc_id bigint, shingles array<bigint>"
@@ -75,7 +77,7 @@ def minhashes(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
 def word_hashes() -> Cache:
     import xxhash
 
-    return Cache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], 1_000_000, 1_000_000)
+    return Cache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], WORDS_KEPT, WORDS_KEPT)
 
 
 def doc_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -236,14 +238,16 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = SIMILAR_PE
 
     ``docs`` is read twice; only documents that share a bucket are read for their full sets.
     """
-    signed = materialise(signatures(docs, k), "signatures")
+    with short_batches(docs.sparkSession):
+        signed = materialise(signatures(docs, k), "signatures")
     groups = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("halves").alias("halves")
     )
     reps = materialise(groups, "representatives")
     buckets = materialise(tensor_buckets(reps), "buckets")
     ids = buckets.select("id").distinct()
-    sets = materialise(full_sets(docs, ids, k), "sets")
+    with short_batches(docs.sparkSession):
+        sets = materialise(full_sets(docs, ids, k), "sets")
     roots = link_buckets(buckets, sets, percent)
     named = reps.select("digest", "id").join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
     return signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
