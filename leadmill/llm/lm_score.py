@@ -25,6 +25,7 @@ empty table; other columns are left out.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +42,8 @@ SHARE = 5e-7
 BEFORE, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 257
 SMOOTHING = 0.1
-RUN_BYTES = 4 << 20
-WORD_RUN_BYTES = 8 << 20
+PIECE_BYTES = 1 << 20  # texts whose symbols are numbers at the same time
+RUN_BYTES = 16 << 20
 MOST_GRAMS = 2_000_000
 
 
@@ -57,7 +58,8 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     key = np.zeros(len(raw) - ORDER, np.int64)
     for i in range(ORDER + 1):
-        key = (key << 8) | raw[i : len(raw) - ORDER + i]
+        key <<= 8
+        key |= raw[i : len(raw) - ORDER + i]
     # between two texts the paddings are not symbols
     starts = np.cumsum(sizes + ORDER) - sizes - ORDER
     real = np.ones(len(key), bool)
@@ -86,7 +88,7 @@ def count_grams(docs: DataFrame, held: Column | None = None) -> DataFrame:
 
         for batch in batches:
             texts, kept = batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()
-            for a, b in runs_of((len(t.as_buffer()) for t in texts), RUN_BYTES):
+            for a, b in runs_of((len(t.as_buffer()) for t in texts), PIECE_BYTES):
                 some = texts.slice(a, b - a).to_pylist()
                 for held_out in (False, True):
                     chosen = [t for t, k in zip(some, kept[a:b], strict=True) if k == held_out]
@@ -244,6 +246,69 @@ def ends_of(code: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code)).astype(np.int32)
 
 
+def score_strings(texts: list[bytes], known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's score by the known strings, and (string, place of its text) of the others, occurrence by occurrence.
+
+    Symbols are numbered a piece of the texts at a time.
+    """
+    strings, chance = known
+    scores, others, places = [], [], []
+    for a, b in runs_of(map(len, texts), PIECE_BYTES):
+        keys, starts = grams(texts[a:b])
+        distinct, at = np.unique(keys, return_inverse=True)
+        p, found = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+        if len(strings):
+            spot = np.minimum(np.searchsorted(strings, distinct), len(strings) - 1)
+            found = strings[spot] == distinct
+            p[found] = chance[spot[found]]
+        scores.append(np.add.reduceat(p[at], starts))
+        left = np.flatnonzero(~found[at])
+        others.append(keys[left])
+        places.append((np.searchsorted(starts, left, "right") - 1 + a).astype(np.int32))
+    return np.concatenate(scores), np.concatenate(others), np.concatenate(places)
+
+
+def score_batches(batches: Iterator[pa.RecordBatch], known: tuple[np.ndarray, np.ndarray], row: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``score_and_index`` for batches of (doc_id, held_out, text), numbered from ``row``."""
+    for batch in batches:
+        texts = batch.column(2).cast(pa.binary())
+        for a, b in runs_of((len(t.as_buffer()) for t in texts), RUN_BYTES):
+            some, held = texts.slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a)
+            score, others, place = score_strings(some, known)
+            if len(others):
+                distinct, code = np.unique(others, return_inverse=True)
+                code, place, times = postings_of(code, place)
+                ends = ends_of(code)
+                yield filled(
+                    gram=pa.array(distinct[code[ends[:-1]]]), base=pa.array(np.full(len(ends) - 1, row)),
+                    places=pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                    times=pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                )
+            del others
+            # words are numbered text by text; only their numbers are kept
+            numbers: dict[bytes, int] = {}
+            codes, sizes = array("q"), np.zeros(len(some), np.int64)
+            for i, text in enumerate(some):
+                words = text.translate(LOWER_TABLE).split()
+                codes.extend([numbers.setdefault(w, len(numbers)) for w in words])
+                sizes[i] = len(words)
+            yield filled(
+                row=pa.array(np.arange(row, row + len(some))), doc_id=batch.column(0).slice(a, b - a), held_out=held,
+                n_words=pa.array(sizes), score=pa.array(score),
+            )
+            word, place, times = postings_of(np.array(codes, np.int64), np.repeat(np.arange(len(some)), sizes))
+            ends = ends_of(word)
+            trained = np.where(held.to_numpy(zero_copy_only=False)[place], 0, times) if len(place) else times
+            yield filled(
+                word=pa.array([w.decode() for w in numbers], pa.string()),
+                seen=pa.array(np.bincount(word, trained, len(numbers)).astype(np.int64)),
+                base=pa.array(np.full(len(numbers), row)),
+                places=pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                times=pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+            )
+            row += len(some)
+
+
 def score_and_index(docs: DataFrame, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Rows of three sorts: a document's score by the known strings under its row number, and
     the postings of a word and of a string that is not known in a run of documents.
@@ -253,50 +318,7 @@ def score_and_index(docs: DataFrame, known: tuple[np.ndarray, np.ndarray]) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, chance = shared.value
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts = batch.column(2).cast(pa.binary())
-            for a, b in runs_of((len(t.as_buffer()) for t in texts), WORD_RUN_BYTES):
-                some, held = texts.slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a)
-                scores = []
-                for c, d in runs_of(map(len, some), RUN_BYTES):
-                    keys, starts = grams(some[c:d])
-                    distinct, at = np.unique(keys, return_inverse=True)
-                    p, found = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
-                    if len(strings):
-                        spot = np.minimum(np.searchsorted(strings, distinct), len(strings) - 1)
-                        found = strings[spot] == distinct
-                        p[found] = chance[spot[found]]
-                    scores.append(np.add.reduceat(p[at], starts))
-                    if not found.all():
-                        left = np.flatnonzero(~found[at])
-                        code, place, times = postings_of(at[left], np.searchsorted(starts, left, "right") - 1)
-                        ends = ends_of(code)
-                        yield filled(
-                            gram=pa.array(distinct[code[ends[:-1]]]), base=pa.array(np.full(len(ends) - 1, row + c)),
-                            places=pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
-                            times=pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
-                        )
-                split = [text.translate(LOWER_TABLE).split() for text in some]
-                sizes = np.fromiter(map(len, split), np.int64, len(split))
-                yield filled(
-                    row=pa.array(np.arange(row, row + len(some))), doc_id=batch.column(0).slice(a, b - a), held_out=held,
-                    n_words=pa.array(sizes), score=pa.array(np.concatenate(scores)),
-                )
-                numbers: dict[bytes, int] = {}
-                code = np.array([numbers.setdefault(w, len(numbers)) for words in split for w in words], np.int64)
-                word, place, times = postings_of(code, np.repeat(np.arange(len(split)), sizes))
-                ends = ends_of(word)
-                trained = np.where(held.to_numpy(zero_copy_only=False)[place], 0, times) if len(place) else times
-                yield filled(
-                    word=pa.array([w.decode() for w in numbers], pa.string()),
-                    seen=pa.array(np.bincount(word, trained, len(numbers)).astype(np.int64)),
-                    base=pa.array(np.full(len(numbers), row)),
-                    places=pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
-                    times=pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
-                )
-                row += len(some)
+        return score_batches(batches, shared.value, TaskContext.get().partitionId() << 33)
 
     return docs.select(F.col("doc_id").cast("bigint"), "held_out", whole_text().alias("text")).mapInArrow(run, SCORED)
 

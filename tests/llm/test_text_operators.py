@@ -204,6 +204,26 @@ BASE = [
 ]
 
 
+def test_scoring_numbers_symbols_a_piece_at_a_time():
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    texts = [draw.choice(np.frombuffer(b"etaoin shrdlu", np.uint8), 2_000).tobytes() for _ in range(2_100)]
+    keys, starts = lm_score.grams(texts)
+    known = np.unique(keys)[::2], np.linspace(-3, -1, len(np.unique(keys)[::2]))
+    found = np.isin(keys, known[0])
+    p = np.zeros(len(keys))
+    p[found] = known[1][np.searchsorted(known[0], keys[found])]
+    tracemalloc.start()
+    scores, others, places = lm_score.score_strings(texts, known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(scores, np.add.reduceat(p, starts), rtol=1e-12)
+    assert (others == keys[~found]).all()
+    assert (places == np.repeat(np.arange(len(texts)), 2_001)[~found]).all()
+    assert peak < 30 * len(keys)  # all 4 MB at once took about 50 bytes a symbol
+
+
 def test_secret_spans(spark, docs, rows, none):
     more = [(900 + i, t, None, None) for i, t in enumerate([
         "😀 token=secret=abcdefghij passwd : x", "AKIA1 AKIAAKIAAKIAAKIA " + "token=aaaaaaaa1 " * 40, "é deadbeef" + "0f" * 16 + " key ghp_x9KfQ2LmZp7Rt4Vw8Yb3Nc6Jd1",
