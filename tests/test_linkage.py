@@ -326,6 +326,67 @@ def test_repeated_and_null_ids_keep_their_pairs(spark):
     assert rows(got.where("LId is not null").select("LId", "RId")) == rows(whole.select("LId", "RId").distinct())
 
 
+def doubled_frames(spark):
+    """Few names, many rows; some ids stand for two records with unlike names, some are null."""
+    left, right = hot_frames(spark)
+    left = left.union(left.where("LId < 40").selectExpr("LId + 1", "SF_Name", "SF_Size"))
+    left = left.union(left.where("LId < 9").selectExpr("cast(null as bigint)", "SF_Name", "SF_Size"))
+    right = right.union(right.where("RId < 30").selectExpr("RId + 1", "ZI_Name", "ZI_Size")).union(right.where("RId < 20"))
+    return left, right.union(right.where("RId < 5").selectExpr("cast(null as bigint)", "ZI_Name", "ZI_Size"))
+
+
+def name_pairs(left, right):
+    """Ids of the records whose names are equal or next to each other, and alike."""
+    ls, rs = left.collect(), right.collect()
+    ranks = {v: i for i, v in enumerate(sorted({r.SF_Name for r in ls if r.SF_Name} | {r.ZI_Name for r in rs}))}
+    return [
+        (a, b) for a in ls for b in rs
+        if a.SF_Name and abs(ranks[a.SF_Name] - ranks[b.ZI_Name]) <= 1 and batches.jaro_winkler_score(a.SF_Name, b.ZI_Name) >= 0.85
+    ]
+
+
+@pytest.mark.parametrize("several, secondary", [(True, False), (False, True)])
+def test_repeated_and_null_ids_stay_pairs_of_profiles(spark, monkeypatch, several, secondary):
+    """No table written on the way holds pairs of records; two ids match once with several rules, once a record with one."""
+    left, right = doubled_frames(spark)
+    rules = [("SF_Name", "ZI_Name")]
+    plan = L.LinkPlan(tuple(rules * several), tuple(rules), (L.Feature("SF_Name", "ZI_Name", "Match_Name", L.JARO_WINKLER),))
+    near = name_pairs(left, right)
+    if several:
+        wanted = {(a.LId, b.RId): (a.LId, b.RId) for a, b in near}.values()
+    else:
+        wanted = [(a.LId, b.RId) for a, b in near]
+    written = []
+    materialise = L.materialise
+
+    def spy(df, label):
+        written.append((label, df.count()))
+        return materialise(df, label)
+
+    monkeypatch.setattr(L, "materialise", spy)
+    linked = L.linked_pairs(left, right, "LId", "RId", plan, whole_blocks=False)
+    order = lambda pairs: sorted(pairs, key=str)
+    assert order(tuple(r) for r in linked.records("LId", "RId").select("LId", "RId").collect()) == order(wanted)
+    out = L.linked_output(left, linked, right, "LId", "RId", ("_x", "_y"), secondary).collect()
+    leading, other, lead, tail = (right, left, "RId", "LId") if secondary else (left, right, "LId", "RId")
+    leads = [r[lead] for r in leading.collect()]
+    tails = [r[tail] for r in other.collect()]
+    met = [((b, a) if secondary else (a, b)) for a, b in wanted]
+    # a match brings every row of its ids; a null id has none
+    expected = [(a, b) for a, b in met if a is not None for _ in range(leads.count(a)) for _ in range(tails.count(b) if b is not None else 1)]
+    expected += [(a, None) for a in leads if a is None or a not in {m for m, _ in met}]
+    assert order((r[lead], r[tail]) for r in out) == order(expected)
+    assert len(near) > 20_000 and max(n for _, n in written) <= 600
+
+
+def test_an_id_pair_keeps_a_hit_of_any_of_its_records(spark):
+    left = spark.createDataFrame([(1, "red bolt", "tiny nut"), (1, "blue ring", "old anvil"), (2, "red bolt", None)], "INP_Index long, INP_COMPANY string, INP_N string")
+    right = spark.createDataFrame([("A", "red bolt", "tiny nut"), ("A", "dark plate", "old anvil"), ("B", "red bolts", "x")], "SF_Id string, SF_AccountName string, SF_CleanName string")
+    fields = {"SF_AccountName": "INP_COMPANY", "SF_CleanName": "INP_N"}
+    got = L.potential_matches(left, right, "INP_Index", "SF_Id", fields, whole_blocks=False)
+    assert rows(got) == [(1, "A", 1, 1, 2), (1, "B", 1, 0, 1), (2, "A", 1, 0, 1), (2, "B", 1, 0, 1)]
+
+
 def test_values_to_compare_are_not_dealt_out_by_token(spark, monkeypatch):
     left, right = frames(spark)
     met = []
