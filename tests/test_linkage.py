@@ -421,3 +421,41 @@ def test_a_step_of_jaro_winkler_looks_for_its_match_once(spark):
     """Work by length: each evaluation of the match window again for every character would show as its cube."""
     scores = str(S.jaro_winkler_scores(F.col("a"), F.col("b"))._jc)
     assert scores.count("filter(") <= 4
+
+
+def tasks_of(spark, group, action):
+    """What an action gives, and the tasks of all its stages."""
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        given = action()
+        tracker = context.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        return given, sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_tokens_are_counted_in_one_read_of_each_side(spark):
+    """The tasks do not multiply by the features, and the counts are those of every feature apart."""
+    left, right = frames(spark, 20)
+    features = tuple(L.Feature("SF_Name", "ZI_Name", f"Match_{i}", L.DAMERAU) for i in range(6)) + (L.Feature("SF_Size", "ZI_Size", "n", L.EXACT),)
+    plan = L.LinkPlan((("SF_Block", "ZI_Block"),), (), features)
+    a = left.withColumnRenamed("SF_Name", "l:SF_Name").repartition(8, "LId")
+    b = right.withColumnRenamed("ZI_Name", "r:ZI_Name").repartition(8, "RId")
+    rarity, tasks = tasks_of(spark, "rarity", lambda: L._rarity(a, b, plan))
+    alone = L.LinkPlan(plan.blocks, (), features[:1])
+    assert tasks < 2 * tasks_of(spark, "rarity of one", lambda: L._rarity(a, b, alone))[1]
+    assert len(rarity) == 7 and sum(rarity[6]) == 0
+    grams = [g for side, name in ((left, "SF_Name"), (right, "ZI_Name")) for r in side.collect() if r[name] for g in zip("\2" + r[name], r[name] + "\3")]
+    assert all(sum(counts) == len(grams) and counts == rarity[0] for counts in rarity[:6])
+
+
+def test_vectors_are_made_once_for_counts_and_tokens(spark, monkeypatch):
+    left, right = frames(spark, 20)
+    seen = []
+    real = L._rarity
+    monkeypatch.setattr(L, "_rarity", lambda a, b, plan: seen.extend([a, b]) or real(a, b, plan))
+    L.matching_pairs(left, right, "LId", "RId", L.make_plan(left, right, {**RULES, "index": {"block": {"SF_Block": ["ZI_Block"]}}}), whole_blocks=False)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    assert len(plans) == 2 and not any("Exchange" in p or "Python" in p for p in plans)
