@@ -459,3 +459,19 @@ def test_vectors_are_made_once_for_counts_and_tokens(spark, monkeypatch):
     L.matching_pairs(left, right, "LId", "RId", L.make_plan(left, right, {**RULES, "index": {"block": {"SF_Block": ["ZI_Block"]}}}), whole_blocks=False)
     plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
     assert len(plans) == 2 and not any("Exchange" in p or "Python" in p for p in plans)
+
+
+def test_few_candidates_take_few_tasks(spark, monkeypatch):
+    """With many shuffle partitions, the tasks of pairing and scoring follow the pairs, not partitions times rules."""
+    left, right = frames(spark)
+    plan = L.make_plan(left, right, RULES, L.JARO_WINKLER)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "300")
+        pairs = L.matching_pairs(left, right, "LId", "RId", plan, whole_blocks=True)
+        text = pairs._jdf.queryExecution().executedPlan().toString()
+        many = L.spread(left, ["LId"], work=1e9).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    numbers = [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", text)]
+    assert max(numbers, default=0) < 10 and many == 300
