@@ -475,3 +475,34 @@ def test_few_candidates_take_few_tasks(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", usual)
     numbers = [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", text)]
     assert max(numbers, default=0) < 10 and many == 300
+
+
+@pytest.mark.parametrize("feature, full, hopeless", [
+    (S.jaro_winkler_feature, "jaro_winkler_scores", [("large ring", "lomboktuku"), ("cold bolt", "dusky nut")]),
+    (S.damerau_levenshtein_feature, "damerau_levenshtein_scores", [("brand#12", "brand#34"), ("large ring", "lavxe ring")]),
+])
+def test_pairs_without_enough_common_characters_are_not_scored(spark, monkeypatch, feature, full, hopeless):
+    monkeypatch.setattr(S, full, lambda a, b: F.raise_error(F.lit("scored in full")).cast("double"))
+    df = spark.createDataFrame(hopeless, "a string, b string")
+    assert [r.f for r in df.select(feature("a", "b").alias("f")).collect()] == [0, 0]
+
+
+def test_features_equal_the_loops(spark):
+    """Random texts with repeats, accents, a character outside the BMP and a zero character."""
+    rng = random.Random(11)
+    alphabet = "aab cé\U0001F600\0"
+    pairs = []
+    for _ in range(700):
+        a = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14)))
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randint(0, 2)] = rng.choice([[], [rng.choice(alphabet)], b[at:at + 2][::-1]])
+        pairs.append((a, "".join(b) or "a"))
+    found = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", S.jaro_winkler_feature("a", "b").alias("j"), S.damerau_levenshtein_feature("a", "b").alias("d")
+    ).collect()
+    for r in found:
+        assert r.j == int(batches.jaro_winkler_score(r.a, r.b) >= 0.85), (r.a, r.b)
+        assert r.d == int(batches.damerau_levenshtein_score(r.a, r.b) >= 0.85 - S.SLACK), (r.a, r.b)
+    assert 100 < sum(r.d for r in found) < 650 and 100 < sum(r.j for r in found) < 690
